@@ -14,7 +14,11 @@ from marquee.sources import storage
 
 FULL_LOAD = "full_load"
 LINEAGE = StructType(
-    [StructField("_ingested_at", TimestampType()), StructField("_source_file", StringType())]
+    [
+        StructField("_ingested_at", TimestampType()),
+        StructField("_source_file", StringType()),
+        StructField("_landed_at", TimestampType()),
+    ]
 )
 
 
@@ -49,9 +53,17 @@ def read_full_load(spark: SparkSession, root: str, entity: str) -> DataFrame:
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
-    """Adds when and from which file a row was ingested; ``df`` must read files directly."""
+    """Adds when and from which file a row was ingested, and when that file landed.
+
+    ``_ingested_at`` is the same for a whole batch; ``_landed_at`` keeps the order of deliveries
+    when a rebuild ingests all of them at once. ``df`` must read files directly.
+    """
     return df.withColumns(
-        {"_ingested_at": F.current_timestamp(), "_source_file": F.col("_metadata.file_path")}
+        {
+            "_ingested_at": F.current_timestamp(),
+            "_source_file": F.col("_metadata.file_path"),
+            "_landed_at": F.col("_metadata.file_modification_time"),
+        }
     )
 
 
@@ -80,16 +92,21 @@ def evolve_schema(spark: SparkSession, landing: str, record: str) -> StructType:
         if known is None:
             raise
         schema = known
-    line = json.dumps({"schema": json.loads(schema.json()), "scanned": now.isoformat()})
-    number = len(storage.subfolders(spark, record))
-    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{record}/{number:08d}"
+    record_number = len(_records(spark, record))
+    storage.write_text(
+        spark,
+        f"{record}/{record_number:08d}.json",
+        json.dumps({"schema": json.loads(schema.json()), "scanned": now.isoformat()}),
     )
     return schema
 
 
+def _records(spark: SparkSession, record: str) -> list[str]:
+    return [name for name in storage.file_names(spark, record) if name.endswith(".json")]
+
+
 def _read_record(spark: SparkSession, record: str) -> tuple[StructType | None, datetime | None]:
-    done = [f for f in storage.subfolders(spark, record) if storage.is_complete(spark, f"{record}/{f}")]
+    done = _records(spark, record)
     if not done:
         return None, None
     stored = json.loads(spark.read.text(f"{record}/{done[-1]}").first().value)

@@ -64,7 +64,7 @@ def listed(df: DataFrame, column: str) -> DataFrame:
 def bronze_ingest(r: Roles) -> DataFrame:
     landed = landing.with_lineage(r.raw("lineitem"))
     seen = F.col("_ingested_at").isNotNull() & F.col("_source_file").isNotNull()
-    return landed.withColumn("has_lineage", seen).drop("_ingested_at", "_source_file")
+    return landed.withColumn("has_lineage", seen).drop(*landing.LINEAGE.names)
 
 
 @query
