@@ -125,6 +125,8 @@ def percent_rank(
     """
     if _window_is_enough(df, distributed):
         return df.withColumn(name, F.percent_rank().over(Window.orderBy(value)))
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()  # read twice below: for the values and for the join
     values = df.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
     ranked = sum_before(values, [F.col("_value").asc()], "_n", "_before", "_rows").select(
         "_value",

@@ -41,24 +41,25 @@ def inject_faults(
     A damaged row gets, a third each, an unknown customer, a negated amount or no booking id.
     Damage and repetition are functions of the row's key, so a repeated row equals its original.
     """
-    source = digest(salt, *keys)
+    source = F.col("_digest")
     hit = uniform(source, 0) < F.lit(float(fraction))
-    third = F.floor(uniform(source, 1) * 3)
+    damage = F.when(hit, F.floor(uniform(source, 1) * 3).cast("int")).otherwise(F.lit(-1))
     again = uniform(source, 2) < F.lit(float(fraction) / 3)
-    marked = df.withColumns({"_damage": F.when(hit, third).otherwise(-1), "_again": again})
-    damaged = marked.withColumns(
+    # The kind of damage comes out of the same explode that repeats the row: one scan and one
+    # hash per row, where a union would evaluate the frame twice, and a plain column would be
+    # computed again inside every filter that is pushed below it.
+    drawn = df.withColumn("_digest", digest(salt, *keys)).withColumn(
+        "_damage", F.explode(F.array_repeat(damage, F.lit(1) + again.cast("int")))
+    )
+    unknown = F.lit(orphan).cast(df.schema["customer_id"].dataType)
+    return drawn.withColumns(
         {
-            "customer_id": F.when(
-                F.col("_damage") == 0, F.lit(orphan).cast(df.schema["customer_id"].dataType)
-            ).otherwise(F.col("customer_id")),
+            "customer_id": F.when(F.col("_damage") == 0, unknown).otherwise(F.col("customer_id")),
             "ticket_amount": F.when(F.col("_damage") == 1, -F.col("ticket_amount"))
             .otherwise(F.col("ticket_amount")),
             "booking_id": F.when(F.col("_damage") != 2, F.col("booking_id")),
         }
-    )
-    # Repeating inside the row keeps it at one scan; a union would evaluate the frame twice.
-    copies = F.explode(F.sequence(F.lit(0), F.col("_again").cast("int")))
-    return damaged.withColumn("_copy", copies).drop("_damage", "_again", "_copy")
+    ).drop("_digest", "_damage")
 
 
 def derived_amounts(df: DataFrame, base_price: str, keys: Sequence[str], salt: str = "amounts") -> DataFrame:

@@ -6,6 +6,7 @@ movies and their shows, supplier the theatres, customer the customers. Money is
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from marquee.operators import shaping
 from marquee.operators.joins import broadcast_if_small
 from marquee.operators.latest import latest_per_key
 from marquee.plans import star
+from marquee.sources.landing import spread
 
 # Fixed values of the binding.
 SCREEN_WEIGHTS = (55, 25, 10, 10)
@@ -29,12 +31,46 @@ SEQUENCE = (
 )
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+    "l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
+class LazyTables(Mapping):
+    """Tables by name, each built when it is first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def day(text: str) -> Column:
     return F.lit(text).cast("date")
 
 
 UNKNOWN_CUSTOMER = -9_999_999
-FEED_KEY = ("booking_id", "customer_id", "ticket_amount", "_ingested_at")
+FEED_KEY = ("booking_id", "show_id", "ticket_amount")
 
 
 def _damage(df: DataFrame, source: Column, **broken: Column) -> DataFrame:
@@ -59,7 +95,12 @@ class Roles:
         self.folder = folder
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        """A driver table; the schema is given, so opening it runs no job."""
+        return self.spark.read.schema(SCHEMAS[table]).parquet(f"{self.folder}/{table}.parquet")
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return spread(self.raw("lineitem"))
 
     @cached_property
     def theatres(self) -> DataFrame:
@@ -174,13 +215,13 @@ class Roles:
     @cached_property
     def booking_feed(self) -> DataFrame:
         """Bookings as landed, repeated ids included."""
-        return self._as_bookings(self.raw("lineitem"))
+        return self._as_bookings(self.lines)
 
     @cached_property
     def bookings(self) -> DataFrame:
         """One row per booking id, the newest. Cut down to one before the orders are joined."""
         keys = ["l_orderkey", "l_linenumber"]
-        return self._as_bookings(latest_per_key(self.raw("lineitem"), keys, SEQUENCE))
+        return self._as_bookings(latest_per_key(self.lines, keys, SEQUENCE))
 
     @cached_property
     def faulty_theatres(self) -> DataFrame:
@@ -242,10 +283,12 @@ class Roles:
         return star.show_occupancy(self.shows, self.theatres, self.fact)
 
     @cached_property
-    def tables(self) -> dict[str, DataFrame]:
-        return {
-            "fact_bookings": self.fact,
-            "fact_show_occupancy": self.occupancy,
-            "dim_theatre": star.dimension(self.theatres, "theatres"),
-            "dim_movie": star.dimension(self.movies, "movies"),
-        }
+    def tables(self) -> LazyTables:
+        return LazyTables(
+            {
+                "fact_bookings": lambda: self.fact,
+                "fact_show_occupancy": lambda: self.occupancy,
+                "dim_theatre": lambda: star.dimension(self.theatres, "theatres"),
+                "dim_movie": lambda: star.dimension(self.movies, "movies"),
+            }
+        )
