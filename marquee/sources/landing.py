@@ -29,9 +29,14 @@ def land(df: DataFrame, root: str, entity: str, folder: str, mode: str = "append
     return path
 
 
-def landed_history(spark: SparkSession, path: str) -> DataFrame:
-    """Everything landed below ``path``, whatever the folder depth."""
-    return spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(path)
+def landed_history(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Everything landed below ``path``, whatever the folder depth.
+
+    Without a ``schema`` the columns of all files are merged, which reads every file's footer.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(schema)
+    return reader.parquet(path)
 
 
 def landed_rows(spark: SparkSession, path: str) -> int:
@@ -105,6 +110,14 @@ def _records(spark: SparkSession, record: str) -> list[str]:
     return [name for name in storage.file_names(spark, record) if name.endswith(".json")]
 
 
+def recorded_schema(spark: SparkSession, record: str) -> StructType:
+    """The landing schema as of the last run."""
+    schema, _ = _read_record(spark, record)
+    if schema is None:
+        raise RuntimeError(f"no schema recorded in {record}")
+    return schema
+
+
 def _read_record(spark: SparkSession, record: str) -> tuple[StructType | None, datetime | None]:
     done = _records(spark, record)
     if not done:
