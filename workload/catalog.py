@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marquee.functions import booking, draws
 from marquee.functions.pseudonyms import pseudonym
@@ -13,7 +15,10 @@ from marquee.operators import joins, quality, ranking, shaping
 from marquee.operators.latest import latest_per_key
 from marquee.plans import reports, star
 from marquee.plans.metrics import BOOKING_REVENUE, PAYMENT_HEALTH, THEATRE_OCCUPANCY
+from marquee.session import ensure_checkpoint_dir
 from marquee.sources import landing
+from marquee.streaming.lake import Lake, Layout
+from marquee.streaming.refresh import FILES_PER_BATCH, ingest
 from workload.roles import Roles, day
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +72,19 @@ def bronze_ingest(r: Roles) -> DataFrame:
     return landed.withColumn("has_lineage", seen).drop(*landing.LINEAGE.names)
 
 
+@query
+def bronze_stream(r: Roles) -> DataFrame:
+    """The same through the ingest stream of the refresh job, into a new folder of the shared area."""
+    entity = "lineitem.parquet"
+    root = f"{ensure_checkpoint_dir(r.spark)}/bronze-{uuid4().hex}"
+    lake = Lake(r.spark, Layout(root, landing=r.folder), generation=1)
+    schema = StructType([*r.raw("lineitem").schema.fields, *landing.LINEAGE.fields])
+    ingest(lake, entity, schema, FILES_PER_BATCH).awaitTermination()
+    bronze = r.spark.read.schema(schema).parquet(lake.bronze_path(entity)).select(*schema.names)
+    seen = F.col("_ingested_at").isNotNull() & F.col("_source_file").isNotNull()
+    return bronze.withColumn("has_lineage", seen).drop(*landing.LINEAGE.names)
+
+
 @query
 def landed_history(r: Roles) -> DataFrame:
     history = landing.landed_history(r.spark, f"{r.folder}/lineitem.parquet")
