@@ -206,17 +206,18 @@ def without_runs(text: str, runs: list[dict]) -> tuple[str, int]:
     return "\n".join(line for i, line in enumerate(lines) if i not in gone), len(gone)
 
 
-def dedup_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with later copies of repeated line runs deleted from ``text``; ``deleted_lines`` added.
+def dedup_lines(docs: DataFrame, settings: Settings = Settings(), count: str | None = "deleted_lines") -> DataFrame:
+    """``docs`` with later copies of repeated line runs deleted from ``text``.
+
+    The column ``count`` is added (replaced if there is one): how many lines went. None adds no column.
 
     All rows and other columns stay as they are. A run is later if an equal one stands in a document of
     a smaller id, or earlier in the same text. Ties: rows with the same id are not later than each other;
     a null id comes after all others and null ids are not later than each other. Null and empty texts
     stay (0 deleted lines); a text whose every line is a later copy becomes empty. Lines are compared
-    without white space at their ends. A column called ``deleted_lines`` is replaced. Empty tables give
-    empty results.
+    without white space at their ends. Empty tables give empty results.
     """
-    names = [c for c in docs.columns if c != "deleted_lines"]
+    names = [c for c in docs.columns if c != count]
     at = names.index("text")
     runs = stored(repeated_runs(docs, settings), "runs").toDF("_id", "_digest", "_runs")
     numbered = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)])
@@ -227,7 +228,7 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     def delete(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
             out = [(t, 0) if not r else without_runs(t, r) for t, r in zip(b[f"c{at}"], b.pop("_runs"), strict=True)]
-            yield b | {f"c{at}": [x[0] for x in out], "deleted_lines": [x[1] for x in out]}
+            yield b | {f"c{at}": [x[0] for x in out], "gone": [x[1] for x in out]}
 
-    ddl = numbered.schema.toDDL()
-    return map_rows(both, delete, f"{ddl}, deleted_lines bigint").toDF(*names, "deleted_lines")
+    cleaned = map_rows(both, delete, f"{numbered.schema.toDDL()}, gone bigint")
+    return cleaned.drop("gone").toDF(*names) if count is None else cleaned.toDF(*names, count)

@@ -148,7 +148,7 @@ KEYS = list(combinations(range(4), 2))
 def _links(prints: DataFrame, s: Settings) -> DataFrame:
     """Links (node, smaller node) that connect all fingerprints within the radius.
 
-    ``prints``: distinct fingerprints ``fp`` with their node, the smallest doc_id. Buckets of more than
+    ``prints``: distinct fingerprints ``fp`` with their node, any number. Buckets of more than
     ``chunk`` rows are dealt into parts, every two of which meet in a task of their own.
     """
     fp = F.col("fp")
@@ -250,25 +250,25 @@ def fingerprints(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def label_components(prints: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``prints`` with ``component_id``: the smallest doc_id reachable over links."""
-    nodes = stored(
-        prints.where(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").cast("bigint").alias("node")), "nodes"
-    )
-    # A node is an id; rows that repeat an id with another fingerprint share its node, which links them.
-    roots = components(_links(nodes.distinct(), settings))
-    label = stored(
-        nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id")), "labels"
+    """``prints`` with ``root``, a number of the component, and ``component_id``, its smallest doc_id."""
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    roots = components(_links(nodes.select(F.col("fp").alias("node"), "fp"), settings))
+    placed = stored(
+        nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root")),
+        "placed",
     )
+    least = stored(placed.groupBy("root").agg(F.min("first").alias("component_id")), "least")
+    label = stored(placed.join(least, "root").select("fp", "root", "component_id"), "labels")
     return prints.join(label, "fp", "left")
 
 
 def find_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row for each document row: doc_id, fingerprint (16 hex digits), component_id.
 
-    Ids are integers. Null, empty and word-less texts have fingerprint zero and link like any other. Rows
-    with a null id have the component of the ids that share their fingerprint (null if there is none) but
-    link nothing. Repeated rows repeat in the result; rows that share an id but not a text share a
-    component where that id is the smallest of both. An empty table gives an empty result.
+    Null, empty and word-less texts have fingerprint zero and link like any other. Rows with a null id
+    link too; the component_id of a component without any id is null. Repeated rows repeat in the result.
+    Fingerprints, not ids, are linked: rows that share an id keep the components of their own texts. An
+    empty table gives an empty result.
     """
     labelled = label_components(fingerprints(docs, settings), settings)
     return labelled.select(
@@ -280,11 +280,10 @@ def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that with the smallest id.
 
     All columns stay. Of rows with the same smallest id the one with the smallest text hash stays, of rows
-    repeated in id and text any one. A group of rows without ids keeps one row for each fingerprint.
+    repeated in id and text any one. A null id comes last.
     """
     labelled = label_components(fingerprints(docs, settings), settings)
-    group = F.coalesce(F.concat(F.lit("c"), F.col("component_id").cast("string")), F.concat(F.lit("f"), F.col("fp").cast("string")))
-    first = labelled.groupBy(group.alias("g")).agg(
+    first = labelled.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "digest")).alias("first")
     )
     kept = stored(first.select(F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_digest")).distinct(), "kept")

@@ -3,8 +3,8 @@
 A word is the bag of its character n-grams (with word marks), so a misspelt or inflected word shares
 most vectors with the word it hides. A passage of ``window`` words is the mean of the vectors of its
 words (a word that comes again counts once) and a linear softmax scores it; a document counts by its most toxic passage, so that one insult in a
-long text is not averaged away. Training picks, round by round, each training document's worst
-passage and moves embeddings and softmax together.
+long text is not averaged away. Training first takes passages of labelled documents at random, then, round
+by round, each document's worst passage, and moves embeddings and softmax together.
 """
 
 from __future__ import annotations
@@ -23,15 +23,20 @@ REMEMBERED = 400_000  # distinct words a worker remembers before it starts afres
 
 @dataclass(frozen=True)
 class Settings:
-    buckets: int = 1 << 16  # rows of the embedding table; n-grams are hashed into them
+    buckets: int = 1 << 18  # rows of the embedding table; n-grams are hashed into them
     size: int = 8  # numbers in a vector
     shortest: int = 3  # characters of an n-gram
     longest: int = 5
+    own: float = 0.2  # weight of the word itself among its n-grams
     window: int = 16  # words of a passage; passages overlap by half
-    most: int = 2000  # training documents of each label, at most
+    most: int = 1500  # training documents of each label, at most
     chars: int = 20_000  # characters of a training document, at most
-    rounds: int = 25
+    warm: int = 8  # rounds on passages drawn at random
+    drawn: int = 6  # passages drawn from a document in each of them
+    rounds: int = 12  # rounds on the worst passages
+    start: float = 0.01  # spread of the first, random vectors
     rate: float = 0.3
+    least_docs: int = 5  # training documents that must hold an n-gram for it to learn
     seed: int = 7
 
 
@@ -44,22 +49,38 @@ class Model:
     bias: float
 
 
-def grams_of(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Embedding row of every n-gram of every ``<word>``, and the index of the word it is from."""
+_POWERS = np.cumprod(np.full(1024, 0x9E3779B97F4A7C15, np.uint64))
+
+
+def _rows(key: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = (key ^ (key >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
+def grams_of(words: list[str], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Embedding row of every n-gram of every ``<word>``, the index of the word it is from, its weight.
+
+    The word itself is a gram too, with a weight of ``own``, so that a word whose parts
+    are all common can still stand out. Weights of a word add up to 1.
+    """
     code = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
     length = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
     owner = np.repeat(np.arange(len(words)), length)
     left = np.repeat(np.cumsum(length), length) - np.arange(len(code))  # characters to the word's end
     key = code.astype(np.uint64)
-    ids, owners = [], []
+    place = np.concatenate(([0], np.cumsum(length)[:-1]))
+    whole_key = np.add.reduceat(code.astype(np.uint64) * _POWERS[np.arange(len(code)) - np.repeat(place, length) & 1023], place)
+    ids, owners = [_rows(whole_key, s.buckets)], [np.arange(len(words))]
     for n in range(2, s.longest + 1):
         key = key[:-1] * np.uint64(1_000_003) + code[n - 1 :]  # of the n characters from each place on
         if n >= s.shortest:
             whole = np.flatnonzero(left[: len(key)] >= n)
-            mixed = (key[whole] ^ (key[whole] >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-            ids.append(((mixed >> np.uint64(32)) % np.uint64(s.buckets)).astype(np.int64))
+            ids.append(_rows(key[whole] + np.uint64(n), s.buckets))
             owners.append(owner[whole])
-    return np.concatenate(ids), np.concatenate(owners)
+    parts = np.concatenate(owners[1:])
+    share = (1 - s.own) / np.maximum(1, np.bincount(parts, minlength=len(words)))
+    weight = np.concatenate((np.full(len(words), s.own), share[parts]))
+    return np.concatenate(ids), np.concatenate(owners), weight
 
 
 @dataclass(frozen=True)
@@ -115,11 +136,19 @@ def train(rows: list[tuple[str, int]], s: Settings = Settings()) -> Model:
     vocabulary: dict[bytes, int] = {}
     docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words]) for words, _ in rows]
     label = np.array([y for _, y in rows])
-    gram, owner = grams_of([w.decode("utf-8", "surrogatepass") for w in vocabulary], s)
+    gram, owner, gram_weight = grams_of([w.decode("utf-8", "surrogatepass") for w in vocabulary], s)
     by_word = np.argsort(owner, kind="stable")
-    gram = gram[by_word]
+    gram, gram_weight = gram[by_word], gram_weight[by_word]
     n_grams = np.bincount(owner, minlength=len(vocabulary))
     gram_start = np.cumsum(n_grams) - n_grams
+    # A gram of few documents would only learn those by heart: it keeps a vector of zeros.
+    in_docs = np.zeros(s.buckets, np.int64)
+    for d in docs:
+        word = np.unique(d)
+        grams = n_grams[word]
+        at = np.repeat(gram_start[word] - np.cumsum(grams) + grams, grams) + np.arange(grams.sum())
+        in_docs[np.unique(gram[at])] += 1
+    learns = in_docs >= s.least_docs
     passages = Passages.of(docs, s.window)
     by_passage = np.argsort(passages.passage, kind="stable")
     passage_word = passages.word[by_passage]
@@ -127,27 +156,34 @@ def train(rows: list[tuple[str, int]], s: Settings = Settings()) -> Model:
     word_start = np.cumsum(n_words) - n_words
 
     rng = np.random.default_rng(s.seed)
-    table = rng.normal(0, 1 / s.size, (s.buckets, s.size))
+    table = rng.normal(0, s.start, (s.buckets, s.size)) * learns[:, None]
     softmax = rng.normal(0, 1, (2, s.size))
     bias = np.zeros(2)
     seen_table = np.full(s.buckets, 1e-4)
     seen_softmax, seen_bias = np.full((2, s.size), 1e-4), np.full(2, 1e-4)
     balance = np.where(label == 1, 0.5 * len(docs) / n_toxic, 0.5 * len(docs) / (len(docs) - n_toxic))
 
-    for _ in range(s.rounds):
-        gram_logit = table @ (softmax[1] - softmax[0])
-        word_logit = np.add.reduceat(gram_logit[gram], gram_start) / n_grams
-        score = np.bincount(passages.passage, word_logit[passages.word], passages.count)
-        end = np.append(passages.first[1:], passages.count)
-        worst = np.array([a + np.argmax(score[a:b]) for a, b in zip(passages.first, end, strict=True)])
-        order = rng.permutation(len(docs))
-        for batch in np.array_split(order, max(1, len(docs) // 128)):
-            size = n_words[worst[batch]]
-            word = passage_word[np.repeat(word_start[worst[batch]] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+    end = np.append(passages.first[1:], passages.count)
+    for number in range(s.warm + s.rounds):
+        if number < s.warm:
+            # Any passages of a document first: what only toxic documents hold stands out, wherever it is.
+            drawn = np.repeat(np.arange(len(docs)), s.drawn)
+            chosen = passages.first[drawn] + rng.integers(0, (end - passages.first)[drawn])
+        else:
+            gram_logit = table @ (softmax[1] - softmax[0])
+            word_logit = np.add.reduceat(gram_logit[gram] * gram_weight, gram_start)
+            score = np.bincount(passages.passage, word_logit[passages.word], passages.count)
+            drawn = np.arange(len(docs))
+            chosen = np.array([a + np.argmax(score[a:b]) for a, b in zip(passages.first, end, strict=True)])
+        order = rng.permutation(len(drawn))
+        for rows_of in np.array_split(order, max(1, len(order) // 128)):
+            batch, picked = drawn[rows_of], chosen[rows_of]
+            size = n_words[picked]
+            word = passage_word[np.repeat(word_start[picked] - np.cumsum(size) + size, size) + np.arange(size.sum())]
             grams = n_grams[word]
-            ids = gram[np.repeat(gram_start[word] - np.cumsum(grams) + grams, grams) + np.arange(grams.sum())]
+            at = np.repeat(gram_start[word] - np.cumsum(grams) + grams, grams) + np.arange(grams.sum())
+            ids, weight = gram[at], gram_weight[at] / s.window
             part = np.repeat(np.repeat(np.arange(len(batch)), size), grams)
-            weight = 1.0 / (s.window * np.repeat(grams, grams))
             mean = np.stack(
                 [np.bincount(part, weight * table[ids, k], len(batch)) for k in range(s.size)], 1
             )
@@ -158,6 +194,8 @@ def train(rows: list[tuple[str, int]], s: Settings = Settings()) -> Model:
             error *= balance[batch, None]  # both labels weigh the same, whatever their share
             grad_mean = error @ softmax
             grad_softmax, grad_bias = error.T @ mean / len(batch), error.mean(0)
+            used = learns[ids]
+            ids, part, weight = ids[used], part[used], weight[used]
             hit, back = np.unique(ids, return_inverse=True)
             grad = np.stack(
                 [np.bincount(back, weight * grad_mean[part, k], len(hit)) for k in range(s.size)], 1
@@ -182,10 +220,10 @@ class Scorer:
         if len(self.number) + len(new) > REMEMBERED and self.number:
             self.number, self.logit, new = {}, np.zeros(0), list(words)
         if new:
-            ids, owner = grams_of([w.decode("utf-8", "surrogatepass") for w in new], self.model.settings)
-            sums = np.bincount(owner, self.model.gram_logit[ids], len(new))
+            ids, owner, weight = grams_of([w.decode("utf-8", "surrogatepass") for w in new], self.model.settings)
+            logit = np.bincount(owner, self.model.gram_logit[ids] * weight, len(new))
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
-            self.logit = np.append(self.logit, sums / np.bincount(owner, minlength=len(new)))
+            self.logit = np.append(self.logit, logit)
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if not texts:
