@@ -223,7 +223,8 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings(), count: str | N
     numbered = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)])
     digest = F.xxhash64(F.coalesce(F.col(f"c{at}"), F.lit("")))
     match = F.col(f"c{names.index('doc_id')}").eqNullSafe(F.col("_id")) & (digest == F.col("_digest"))
-    both = numbered.join(runs, match, "left").drop("_id", "_digest")
+    # The runs grow with the documents: one plan at every size, never a broadcast.
+    both = numbered.join(runs.hint("merge"), match, "left").drop("_id", "_digest")
 
     def delete(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
