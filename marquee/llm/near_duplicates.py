@@ -286,12 +286,17 @@ def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     first = labelled.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "digest")).alias("first")
     )
-    kept = stored(first.select(F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_digest")).distinct(), "kept")
+    keys = ["_none", "_key", "_digest"]
+
+    def keyed(an_id: F.Column, digest: F.Column) -> list:
+        return [an_id.isNull().alias("_none"), F.coalesce(an_id.cast("string"), F.lit("")).alias("_key"), digest.alias("_digest")]
+
+    kept = stored(first.select(*keyed(F.col("first.doc_id"), F.col("first.digest"))).distinct(), "kept")
     names = docs.columns
-    numbered = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)])
-    an_id, a_text = F.col(f"c{names.index('doc_id')}"), F.col(f"c{names.index('text')}")
-    match = an_id.eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(a_text, F.lit(""))) == F.col("_digest"))
-    once = numbered.join(kept, match).groupBy("_id", "_digest").agg(
-        *[F.first(c).alias(c) for c in numbered.columns]
+    digest = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    numbered = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], *keyed(docs["doc_id"], digest))
+    # The kept ids grow with the documents: one plan at every size. Grouping needs no further shuffle.
+    once = numbered.join(kept.hint("merge"), keys).groupBy(*keys).agg(
+        *[F.first(f"c{i}").alias(f"c{i}") for i in range(len(names))]
     )
-    return once.select(numbered.columns).toDF(*names)
+    return once.drop(*keys).toDF(*names)
