@@ -265,4 +265,28 @@ THEATRE_OCCUPANCY = MetricView(
     },
 )
 
+# The daily summary is the same measures under the names of its table.
+DAILY_REVENUE = MetricView(
+    name="daily_revenue",
+    source="fact_bookings",
+    joins={"theatre": _BOOKING_JOINS["theatre"]},
+    dimensions={
+        "date_key": Dimension("date_key"),
+        "booking_date": Dimension("booking_date"),
+        "city": Dimension("city", "theatre"),
+        "payment_gateway": Dimension("payment_gateway"),
+    },
+    measures={
+        "total_revenue": BOOKING_REVENUE.measures["Total Revenue"],
+        "total_bookings": BOOKING_REVENUE.measures["Total Bookings"],
+        "successful_bookings": BOOKING_REVENUE.measures["Successful Bookings"],
+        "failed_bookings": BOOKING_REVENUE.measures["Failed Bookings"],
+        "refunded_bookings": rows(booking.REFUNDED),
+        "cancelled_bookings": rows(booking.CANCELLED),
+        "unique_customers": BOOKING_REVENUE.measures["Unique Customers"],
+        "payment_failure_rate": PAYMENT_HEALTH.measures["Payment Failure Rate"],
+        "cancellation_rate": BOOKING_REVENUE.measures["Cancellation Rate"],
+    },
+)
+
 VIEWS = {view.name: view for view in (BOOKING_REVENUE, PAYMENT_HEALTH, THEATRE_OCCUPANCY)}

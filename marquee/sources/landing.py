@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,11 +40,11 @@ def landed_history(spark: SparkSession, path: str, schema: StructType | None = N
 
 
 def landed_rows(spark: SparkSession, path: str) -> int:
-    """Number of landed rows, 0 if nothing has landed. Reads file footers only."""
-    try:
-        return spark.read.option("recursiveFileLookup", "true").parquet(path).count()
-    except AnalysisException:
-        return 0
+    """Number of landed rows, 0 if the folder is not there. Reads file footers only.
+
+    A folder that cannot be read is an error: ids that continue from a wrong 0 would repeat.
+    """
+    return landed_history(spark, path).count() if storage.exists(spark, path) else 0
 
 
 def read_full_load(spark: SparkSession, root: str, entity: str) -> DataFrame:
@@ -83,20 +83,12 @@ def merge_schemas(known: StructType | None, found: StructType) -> StructType:
 def evolve_schema(spark: SparkSession, landing: str, record: str) -> StructType:
     """The schema to ingest ``landing`` with, remembered in ``record`` between runs.
 
-    A later run looks only at files changed since the last one (with a day of overlap for clock
-    differences), so its cost follows the new deliveries and not the history.
+    The footers of all landed files are looked at, in Spark tasks: a file may arrive late with an old
+    modification time, so no time window tells which files are new.
     """
-    known, since = _read_record(spark, record)
+    known = _read_record(spark, record)
     now = datetime.now(tz=timezone.utc)
-    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
-    if since is not None:
-        reader = reader.option("modifiedAfter", (since - timedelta(days=1)).strftime("%Y-%m-%dT%H:%M:%S"))
-    try:
-        schema = merge_schemas(known, reader.parquet(landing).schema)
-    except AnalysisException:
-        if known is None:
-            raise
-        schema = known
+    schema = merge_schemas(known, landed_history(spark, landing).schema)
     record_number = len(_records(spark, record))
     storage.write_text(
         spark,
@@ -112,18 +104,18 @@ def _records(spark: SparkSession, record: str) -> list[str]:
 
 def recorded_schema(spark: SparkSession, record: str) -> StructType:
     """The landing schema as of the last run."""
-    schema, _ = _read_record(spark, record)
+    schema = _read_record(spark, record)
     if schema is None:
         raise RuntimeError(f"no schema recorded in {record}")
     return schema
 
 
-def _read_record(spark: SparkSession, record: str) -> tuple[StructType | None, datetime | None]:
+def _read_record(spark: SparkSession, record: str) -> StructType | None:
     done = _records(spark, record)
     if not done:
-        return None, None
+        return None
     stored = json.loads(spark.read.text(f"{record}/{done[-1]}").first().value)
-    return StructType.fromJson(stored["schema"]), datetime.fromisoformat(stored["scanned"])
+    return StructType.fromJson(stored["schema"])
 
 
 def read_fixture(spark: SparkSession, path: str) -> DataFrame:

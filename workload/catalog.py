@@ -62,14 +62,19 @@ def listed(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.array_join(column, ","))
 
 
+def shown_lineage(df: DataFrame) -> DataFrame:
+    """What two engines can compare of the lineage: that it is there, and the name of the file."""
+    seen = F.col("_ingested_at").isNotNull() & F.col("_landed_at").isNotNull()
+    name = F.element_at(F.split("_source_file", "/"), -1)
+    return df.withColumns({"has_lineage": seen, "file": name}).drop(*landing.LINEAGE.names)
+
+
 # --- sources ---------------------------------------------------------------------------------
 
 
 @query
 def bronze_ingest(r: Roles) -> DataFrame:
-    landed = landing.with_lineage(r.raw("lineitem"))
-    seen = F.col("_ingested_at").isNotNull() & F.col("_source_file").isNotNull()
-    return landed.withColumn("has_lineage", seen).drop(*landing.LINEAGE.names)
+    return shown_lineage(landing.with_lineage(r.raw("lineitem")))
 
 
 @query
@@ -81,8 +86,7 @@ def bronze_stream(r: Roles) -> DataFrame:
     schema = StructType([*r.raw("lineitem").schema.fields, *landing.LINEAGE.fields])
     ingest(lake, entity, schema, FILES_PER_BATCH).awaitTermination()
     bronze = r.spark.read.schema(schema).parquet(lake.bronze_path(entity)).select(*schema.names)
-    seen = F.col("_ingested_at").isNotNull() & F.col("_source_file").isNotNull()
-    return bronze.withColumn("has_lineage", seen).drop(*landing.LINEAGE.names)
+    return shown_lineage(bronze)
 
 
 @query
@@ -361,6 +365,14 @@ def worst_payment_slices(r: Roles) -> DataFrame:
     return rounded(reports.worst_payment_slices(r.tables, ("Payment Gateway", "City")))
 
 
+@query
+def worst_payment_slices_by_quarter(r: Roles) -> DataFrame:
+    """All three dimensions; some slices have fewer than 20 bookings and some have more."""
+    quarter = F.trunc("booking_date", "quarter")
+    tables = {**r.tables, "fact_bookings": r.fact.withColumn("booking_date", quarter)}
+    return rounded(reports.worst_payment_slices(tables))
+
+
 @query
 def revenue_by_city(r: Roles) -> DataFrame:
     return reports.revenue_by(r.tables, "City")
@@ -526,13 +538,6 @@ def fault_injection(r: Roles) -> DataFrame:
     return r.faulty_feed
 
 
-@query
-def derived_amounts(r: Roles) -> DataFrame:
-    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").alias("base_price")
-    priced = r.raw("orders").select("o_orderkey", cents)
-    return shaping.derived_amounts(priced, "base_price", ["o_orderkey"])
-
-
 @query
 def id_continuation(r: Roles) -> DataFrame:
     landed = landing.landed_rows(r.spark, f"{r.folder}/customer.parquet")

@@ -38,7 +38,7 @@ movies AS (
 
 SHOWS = f"""
 shows AS (
-  SELECT p_partkey AS show_id, p_partkey AS movie_id, p_partkey // 20 AS theatre_id,
+  SELECT p_partkey AS show_id, p_partkey // 4 AS movie_id, p_partkey // 20 AS theatre_id,
          CAST(DATE '1998-01-01' + {whole(f"{draw('show', 'p_partkey')} * 730")} AS TIMESTAMP)
            + to_hours(CAST(9 + floor({draw('show', 'p_partkey', slot=1)} * 14) AS INTEGER)) AS showtime,
          p_brand AS screen_type, CAST(round(p_retailprice * 100) AS BIGINT) AS base_price
@@ -85,7 +85,7 @@ bookings AS (
 
 FACT = f"""{BOOKINGS},
 fact AS (
-  SELECT b.booking_id, b.show_id, p_partkey // 20 AS theatre_id, p_partkey AS movie_id, b.customer_id,
+  SELECT b.booking_id, b.show_id, p_partkey // 20 AS theatre_id, p_partkey // 4 AS movie_id, b.customer_id,
          CAST(strftime(b.booking_date, '%Y%m%d') AS INTEGER) AS date_key, b.booking_date, b.seats_booked,
          b.ticket_amount, b.fees, b.discount, b.ticket_amount + b.fees - b.discount AS net_revenue,
          b.payment_status, b.payment_gateway, b.booking_channel, b.is_cancelled
@@ -245,8 +245,8 @@ FEED_OUT = """booking_id, show_id, customer_id, seats_booked, ticket_amount, fee
   payment_status, booking_channel, is_cancelled, booking_date, _ingested_at"""
 
 ORACLES: dict[str, str] = {
-    "bronze_ingest": "SELECT *, TRUE AS has_lineage FROM lineitem",
-    "bronze_stream": "SELECT *, TRUE AS has_lineage FROM lineitem",
+    "bronze_ingest": "SELECT *, TRUE AS has_lineage, 'lineitem.parquet' AS file FROM lineitem",
+    "bronze_stream": "SELECT *, TRUE AS has_lineage, 'lineitem.parquet' AS file FROM lineitem",
     "landed_history": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem",
     "landed_row_count": " UNION ALL ".join(
         f"SELECT '{t}' AS entity, count(*) AS landed_rows FROM {t}"
@@ -414,6 +414,12 @@ ORACLES: dict[str, str] = {
         {HEALTH_MEASURES} FROM wide GROUP BY payment_gateway, city HAVING count(*) >= 20
         ORDER BY count(*) FILTER (WHERE payment_status = 'failed')::DOUBLE / count(*) DESC, count(*) DESC, 1, 2
         LIMIT 15""",
+    "worst_payment_slices_by_quarter": f"""WITH {WIDE}, q AS (
+          SELECT *, CAST(date_trunc('quarter', booking_date) AS DATE) AS quarter FROM wide)
+        SELECT payment_gateway AS "Payment Gateway", city AS "City", quarter AS "Booking Date", {HEALTH_MEASURES}
+        FROM q GROUP BY payment_gateway, city, quarter HAVING count(*) >= 20
+        ORDER BY count(*) FILTER (WHERE payment_status = 'failed')::DOUBLE / count(*) DESC, count(*) DESC, 1, 2, 3
+        LIMIT 15""",
     "revenue_by_city": f"""WITH {WIDE} SELECT city AS "City",
         CAST(sum(net_revenue) FILTER (WHERE {REALIZED}) AS BIGINT) AS "Total Revenue", count(*) AS "Total Bookings"
         FROM wide GROUP BY city""",
@@ -467,18 +473,6 @@ ORACLES: dict[str, str] = {
                ELSE payment_status END AS payment_status
         FROM fact JOIN theatres USING (theatre_id)""",
     "fault_injection": f"WITH {FAULTY_FEED} SELECT {FEED_OUT} FROM faulty",
-    "derived_amounts": f"""WITH drawn AS (
-          SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS base_price,
-            {draw('amounts', 'o_orderkey')} AS seats, {draw('amounts', 'o_orderkey', slot=1)} AS noise,
-            {draw('amounts', 'o_orderkey', slot=2)} AS extra FROM orders),
-        sized AS (SELECT *, CAST(floor(seats * seats * 5) AS INTEGER) + 1 AS seats_booked FROM drawn),
-        priced AS (SELECT *, CAST(trunc((seats_booked * base_price)::DOUBLE * (0.95::DOUBLE + noise * 0.1::DOUBLE)) AS BIGINT)
-          AS ticket_amount FROM sized)
-        SELECT o_orderkey, base_price, seats_booked, ticket_amount,
-          CAST(trunc(ticket_amount::DOUBLE * (0.02::DOUBLE + extra * 0.03::DOUBLE)) AS BIGINT) AS fees,
-          CASE WHEN extra < 0.2::DOUBLE
-            THEN CAST(trunc(ticket_amount::DOUBLE * (0.05::DOUBLE + extra * 0.15::DOUBLE)) AS BIGINT) ELSE 0 END AS discount
-        FROM priced""",
     "id_continuation": """SELECT s_suppkey, printf('CUST-%07d', (SELECT count(*) FROM customer)
         + row_number() OVER (ORDER BY s_suppkey)) AS customer_id FROM supplier""",
     "pseudonymize": _pseudonyms(),

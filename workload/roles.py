@@ -23,6 +23,7 @@ from marquee.sources.landing import spread
 # Fixed values of the binding.
 SCREEN_WEIGHTS = (55, 25, 10, 10)
 PARTS_PER_SUPPLIER = 20
+SHOWS_PER_MOVIE = 4
 FIRST_SHOW_DAY = "1998-01-01"
 SHOW_DAYS = 730
 SEQUENCE = (
@@ -142,7 +143,7 @@ class Roles:
         hour = 9 + draws.pick_below(14, draws.uniform(source, 1))
         return self.raw("part").select(
             F.col("p_partkey").alias("show_id"),
-            F.col("p_partkey").alias("movie_id"),
+            F.expr(f"p_partkey div {SHOWS_PER_MOVIE}").alias("movie_id"),
             F.expr(f"p_partkey div {PARTS_PER_SUPPLIER}").alias("theatre_id"),
             F.to_timestamp_ntz(F.concat_ws(" ", show_day, F.format_string("%02d:00:00", hour)))
             .alias("showtime"),
@@ -280,7 +281,8 @@ class Roles:
 
     @cached_property
     def occupancy(self) -> DataFrame:
-        return star.show_occupancy(self.shows, self.theatres, self.fact)
+        # Seats need the show id alone, which a booking has: no join stands before the sum.
+        return star.show_occupancy(self.shows, self.theatres, self.bookings)
 
     @cached_property
     def tables(self) -> LazyTables:
