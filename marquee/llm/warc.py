@@ -261,7 +261,9 @@ def resolve_revisits(manifest: DataFrame, folder: str, settings: Settings = Sett
             "bytes": pa.array(rows["bytes"], pa.int64()),
         })
 
-    return stored(plan.groupBy("archive").applyInArrow(rewrite, MANIFEST), "manifest")
+    # By number, or Spark would merge the few bytes of all plans into one task that rewrites everything.
+    dealt = plan.repartition(_tasks(manifest), "archive")
+    return stored(dealt.groupBy("archive").applyInArrow(rewrite, MANIFEST), "manifest")
 
 
 def archive_pages(pages: DataFrame, settings: Settings = Settings(), folder: str | None = None) -> DataFrame:
