@@ -30,7 +30,7 @@ class Settings:
     own: float = 0.2  # weight of the word itself among its n-grams
     window: int = 16  # words of a passage; passages overlap by half
     most: int = 1500  # training documents of each label, at most
-    chars: int = 20_000  # characters of a training document, at most
+    chars: int = 10_000  # characters of a training document, at most
     warm: int = 8  # rounds on passages drawn at random
     drawn: int = 6  # passages drawn from a document in each of them
     rounds: int = 12  # rounds on the worst passages
