@@ -35,12 +35,8 @@ def _starts(parts: DataFrame, total: str) -> DataFrame:
     )
 
 
-def rows_before(df: DataFrame, order: Sequence[Column], before: str, total: str) -> DataFrame:
-    """Adds the number of earlier rows in ``order`` and the number of all rows.
-
-    ``order`` must be total: partition bounds can then cut between any two rows, also inside a
-    run of equal leading values that holds most of the table.
-    """
+def _numbered(df: DataFrame, order: Sequence[Column], before: str, total: str) -> DataFrame:
+    """``rows_before`` with the number of the partition as ``_part``, stored."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     placed = (
@@ -57,12 +53,21 @@ def rows_before(df: DataFrame, order: Sequence[Column], before: str, total: str)
     )
     parts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_in_part"))
     return (
-        placed.join(F.broadcast(_starts(parts, total)), "_part")
+        placed.join(F.broadcast(_starts(parts, total)), "_part")  # one row per partition
         .withColumn(before, F.col("_start") + F.col("_row"))
-        .drop("_id", "_part", "_row", "_start")
+        .drop("_id", "_row", "_start")
     )
 
 
+def rows_before(df: DataFrame, order: Sequence[Column], before: str, total: str) -> DataFrame:
+    """Adds the number of earlier rows in ``order`` and the number of all rows.
+
+    ``order`` must be total: partition bounds can then cut between any two rows, also inside a
+    run of equal leading values that holds most of the table.
+    """
+    return _numbered(df, order, before, total).drop("_part")
+
+
 def sum_before(
     df: DataFrame, order: Sequence[Column], amount: str, before: str, total: str
 ) -> DataFrame:
@@ -119,21 +124,32 @@ def percent_rank(
 ) -> DataFrame:
     """``percent_rank`` over the whole frame, ascending; equal values share a rank.
 
-    The distributed form ranks the distinct values with their counts, so a value that dominates
-    the frame is one row there, and joins the ranks back. That join is by value; a hot value on
-    the row side is what the adaptive skew join splits, the other side is unique.
+    In the distributed form the rank of a value is the number of rows before its first one. Each
+    range partition finds it for its own rows; a value that began in an earlier partition takes it
+    over from there, by a table with one row per partition. Ties are cut by a hash of the row, so a
+    value that most rows share is spread over tasks, and nothing is joined by value.
     """
     if _window_is_enough(df, distributed):
         return df.withColumn(name, F.percent_rank().over(Window.orderBy(value)))
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint()  # read twice below: for the values and for the join
-    values = df.groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = sum_before(values, [F.col("_value").asc()], "_n", "_before", "_rows").select(
-        "_value",
-        F.when(F.col("_rows") > 1, F.col("_before") / (F.col("_rows") - 1))
-        .otherwise(F.lit(0.0)).alias(name),
+    order = [F.col(value).asc(), F.xxhash64(*df.columns).asc()]
+    numbered = _numbered(df, order, "_before", "_rows")
+    sortable = F.struct(F.col(value).isNotNull().alias("known"), F.col(value).alias("value"))
+    runs = numbered.groupBy("_part", value).agg(F.min("_before").alias("first"))
+    run = F.struct(sortable.alias("of"), F.col("first").alias("first"))
+    ends = runs.groupBy("_part").agg(F.min(run).alias("_head"), F.max(run).alias("_tail"))
+    begun = ends.groupBy(F.col("_tail.of").alias("_of")).agg(F.min("_tail.first").alias("_begun"))
+    heads = ends.join(F.broadcast(begun), F.col("_head.of") == F.col("_of"), "left").select(
+        "_part", F.col("_head.of").alias("_of"), F.least("_head.first", "_begun").alias("_carried")
+    )
+    own = F.min("_before").over(Window.partitionBy("_part", value))
+    first = F.when(sortable == F.col("_of"), F.col("_carried")).otherwise(F.col("_own"))
+    rank = F.when(F.col("_rows") > 1, first / (F.col("_rows") - 1)).otherwise(F.lit(0.0))
+    return (
+        numbered.withColumn("_own", own)
+        .join(F.broadcast(heads), "_part")  # one row per partition
+        .withColumn(name, rank)
+        .drop("_part", "_before", "_rows", "_own", "_of", "_carried")
     )
-    return df.join(ranked, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
 
 
 def weight_buckets(

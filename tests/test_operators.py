@@ -54,6 +54,17 @@ def test_percent_rank_matches_window(spark):
     assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
 
 
+def test_percent_rank_of_a_hot_value_and_nulls(spark):
+    """60 % equal values over several ranges, with nulls before them; nothing is joined by value."""
+    v = F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 5 < 3, 7).otherwise(F.col("id") % 40)
+    df = spark.range(4000).withColumn("v", v)
+    ours = ranking.percent_rank(df, "v", "p", distributed=True)
+    theirs = ranking.percent_rank(df, "v", "p", distributed=False)
+    assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+    plan = ours._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan
+
+
 @pytest.mark.parametrize("distributed", [True, False])
 def test_ranks_of_few_rows(spark, distributed):
     spends = spark.createDataFrame(list(enumerate([100, 50, 50, 0, 0, 0, 0, 0])), "id bigint, v bigint")

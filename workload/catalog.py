@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from marquee.functions import booking, draws
 from marquee.functions.pseudonyms import pseudonym
 from marquee.operators import joins, quality, ranking, shaping
-from marquee.operators.latest import latest_per_key
+from marquee.operators.latest import latest_per_key, merge_changes
 from marquee.plans import reports, star
 from marquee.plans.metrics import BOOKING_REVENUE, PAYMENT_HEALTH, THEATRE_OCCUPANCY
 from marquee.session import ensure_checkpoint_dir
@@ -254,6 +254,40 @@ def cdc_latest_customers(r: Roles) -> DataFrame:
     return latest_per_key(r.customer_feed, ["customer_id"], ["_ingested_at", "change"])
 
 
+@query
+def silver_shows(r: Roles) -> DataFrame:
+    """Rules and references together: shows whose movie and theatre passed their own rules."""
+    parents = {
+        "movie_id": quality.passing(r.faulty_movies, quality.RULES["movies"]).select("movie_id"),
+        "theatre_id": quality.passing(r.faulty_theatres, quality.RULES["theatres"]).select("theatre_id"),
+    }
+    return quality.passing(joins.keep_referenced(r.faulty_shows, parents), quality.RULES["shows"])
+
+
+@query
+def silver_customers(r: Roles) -> DataFrame:
+    """The newest profile of each customer that passes, with the warnings it carries."""
+    rules = quality.RULES["customers"]
+    newest = latest_per_key(
+        quality.passing(r.customer_feed, rules), ["customer_id"], ["_ingested_at", "change"]
+    )
+    return listed(quality.with_broken_rules(newest, rules, "broken"), "broken")
+
+
+@query
+def cdc_merge_bookings(r: Roles) -> DataFrame:
+    """Three deliveries through the keyed merge: a snapshot, then newer rows, then late older ones.
+
+    Each delivery overlaps the one before, so some changes are replays.
+    """
+    key, sequence, at = ["booking_id"], ["_ingested_at"], F.col("_ingested_at")
+    snapshot = r.booking_feed.where((at >= day("1994-01-01")) & (at < day("1996-01-01")))
+    newer = r.booking_feed.where(at >= day("1995-07-01"))
+    late = r.booking_feed.where(at < day("1994-07-01"))
+    current = latest_per_key(snapshot, key, sequence)
+    return merge_changes(merge_changes(current, newer, key, sequence), late, key, sequence)
+
+
 # --- star schema -----------------------------------------------------------------------------
 
 

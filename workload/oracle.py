@@ -328,6 +328,18 @@ ORACLES: dict[str, str] = {
             is_cancelled DESC, booking_date DESC) AS place
           FROM referenced WHERE {' AND '.join(BOOKING_OK.values())})
         SELECT {FEED_OUT} FROM placed WHERE place = 1""",
+    "silver_shows": f"""WITH {FAULTY_THEATRES}, {FAULTY_MOVIES}, {FAULTY_SHOWS} SELECT * FROM faulty_shows
+        WHERE show_id IS NOT NULL AND base_price >= 0
+          AND movie_id IN (SELECT movie_id FROM faulty_movies WHERE movie_id IS NOT NULL
+            AND title IS NOT NULL AND duration_minutes > 0 AND genre IS NOT NULL)
+          AND theatre_id IN (SELECT theatre_id FROM faulty_theatres WHERE theatre_id IS NOT NULL
+            AND city IS NOT NULL AND state IS NOT NULL
+            AND screen_type IN ('STANDARD', 'PREMIUM', 'IMAX', 'RECLINER') AND seat_capacity > 0)""",
+    "cdc_merge_bookings": f"""WITH {FEED}, placed AS (SELECT *, row_number() OVER (PARTITION BY booking_id
+          ORDER BY _ingested_at DESC, show_id DESC, customer_id DESC, seats_booked DESC, ticket_amount DESC,
+            fees DESC, discount DESC, payment_gateway DESC, payment_status DESC, booking_channel DESC,
+            is_cancelled DESC, booking_date DESC) AS place FROM feed)
+        SELECT {FEED_OUT} FROM placed WHERE place = 1""",
     "cdc_latest_bookings": f"WITH {BOOKINGS} SELECT {FEED_OUT} FROM bookings",
     "cdc_latest_customers": f"""WITH {CUSTOMERS}, changes AS (
           SELECT *, TIMESTAMP '1990-01-01' AS _ingested_at, CAST(-1 AS BIGINT) AS change FROM customers
@@ -337,6 +349,16 @@ ORACLES: dict[str, str] = {
         SELECT customer_id, name, email, phone, city, signup_date, _ingested_at, change
         FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY _ingested_at DESC, change DESC) AS place
               FROM changes) WHERE place = 1""",
+    "silver_customers": f"""WITH {CUSTOMERS}, changes AS (
+          SELECT *, TIMESTAMP '1990-01-01' AS _ingested_at, CAST(-1 AS BIGINT) AS change FROM customers
+          UNION ALL
+          SELECT c.customer_id, c.name, c.email, c.phone, 'NATION_' || (o_orderkey % 25) AS city, c.signup_date,
+                 o_orderdate, o_orderkey FROM orders JOIN customers c ON o_custkey = c.customer_id)
+        SELECT customer_id, name, email, phone, city, signup_date, _ingested_at, change, concat_ws(',',
+          CASE WHEN NOT {EMAIL_OK} THEN 'valid_email_format' END,
+          CASE WHEN NOT {PHONE_OK} THEN 'valid_phone_format' END) AS broken
+        FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY _ingested_at DESC, change DESC) AS place
+              FROM changes) WHERE place = 1 AND customer_id IS NOT NULL""",
     "fact_bookings": f"WITH {FACT} SELECT * FROM fact",
     "show_occupancy": f"""WITH {OCCUPANCY} SELECT * EXCLUDE (theatre_name)
         REPLACE (round(occupancy_rate, 6) AS occupancy_rate) FROM occupancy""",
