@@ -35,6 +35,8 @@ class Settings:
     level: int = 4  # of gzip
 
 
+STEP = 8192  # bytes of an archive that are unpacked in one go
+
 MANIFEST = "archive string, records bigint, bytes bigint"
 
 
@@ -55,9 +57,15 @@ def records_in(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
     at = 0
     view = memoryview(data)
     while at < len(data):
-        member = zlib.decompressobj(31)
-        raw = member.decompress(view[at:])
-        length = len(data) - at - len(member.unused_data)
+        member, parts, end = zlib.decompressobj(31), [], at
+        # In steps: what lies behind a member's end is copied, so the rest of the archive must not be fed.
+        while not member.eof:
+            if end >= len(data):
+                raise ValueError(f"the record at {at} ends early")
+            parts.append(member.decompress(view[end : end + STEP]))
+            end = min(end + STEP, len(data))
+        length = end - at - len(member.unused_data)
+        raw = b"".join(parts)
         head, _, rest = raw.partition(b"\r\n\r\n")
         lines = head.decode("utf-8", "surrogatepass").split("\r\n")
         headers = dict(line.split(": ", 1) for line in lines[1:])
