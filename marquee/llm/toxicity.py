@@ -2,9 +2,10 @@
 
 A word is the bag of its character n-grams (with word marks), so a misspelt or inflected word shares
 most vectors with the word it hides. A passage of ``window`` words is the mean of the vectors of its
-words (a word that comes again counts once) and a linear softmax scores it; a document counts by its most toxic passage, so that one insult in a
-long text is not averaged away. Training first takes passages of labelled documents at random, then, round
-by round, each document's worst passage, and moves embeddings and softmax together.
+words (a word that comes again counts once) and a linear softmax scores it; a document counts by its most
+toxic passage, so that one insult in a long text is not averaged away. Training first takes passages of
+labelled documents at random, then, round by round, each document's worst passage, and moves embeddings
+and softmax together.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ class Settings:
     shortest: int = 3  # characters of an n-gram
     longest: int = 5
     own: float = 0.2  # weight of the word itself among its n-grams
-    window: int = 16  # words of a passage; passages overlap by half
+    window: int = 4  # words of a passage; passages overlap by half
     most: int = 1500  # training documents of each label, at most
     chars: int = 10_000  # characters of a training document, at most
     warm: int = 8  # rounds on passages drawn at random

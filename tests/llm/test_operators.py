@@ -112,6 +112,21 @@ def test_warc_records_and_revisits(spark, tmp_path):
     assert [r["page_id"] for r in small] == [4]
 
 
+def test_archives_are_read_in_steps():
+    sizes = [0, 1, warc.STEP - 1, warc.STEP, warc.STEP + 1, 5 * warc.STEP] * 3
+    blocks = [os.urandom(n) for n in sizes]
+    records = [warc.record("response", {"X": "y"}, block, 4) for block in blocks]
+    data = b"".join(records)
+    read = list(warc.records_in(data))
+    assert [block for *_, block in read] == blocks
+    assert [(at, length) for at, length, *_ in read] == [
+        (sum(map(len, records[:i])), len(x)) for i, x in enumerate(records)
+    ]
+    assert list(warc.records_in(b"")) == []
+    with pytest.raises(ValueError, match="ends early"):
+        list(warc.records_in(data[:-3]))
+
+
 def test_warc_query_matches_sql(spark):
     con = open_tables(FOLDER)
     assert difference(QUERIES["op2_warc"](spark, FOLDER), con, ORACLES["op2_warc"]) is None
