@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.session import ensure_checkpoint_dir
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
     """One row per key: the one with the greatest sequence, ties by the remaining columns.
@@ -29,9 +31,11 @@ def merge_changes(
     """``current`` (unique by key) with ``changes`` applied; an older change loses, a replay is a no-op.
 
     Rows whose key did not change pass by untouched. While the changed keys are small enough for
-    Spark to broadcast, the large side is not shuffled at all.
+    Spark to broadcast, the large side is not shuffled at all. The change, one row per key, is stored
+    once, since three branches of the plan read it.
     """
-    fresh = latest_per_key(changes, keys, sequence)
+    ensure_checkpoint_dir(changes.sparkSession)
+    fresh = latest_per_key(changes, keys, sequence).checkpoint()
     touched_keys = fresh.select(*keys)
     untouched = current.join(touched_keys, list(keys), "left_anti")
     touched = current.join(touched_keys, list(keys), "left_semi")

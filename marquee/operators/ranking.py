@@ -2,8 +2,11 @@
 
 A window without PARTITION BY sends every row to a single task. Here the rows are range-partitioned
 by the ranking order, written to the checkpoint folder once, and each partition's start is added
-from a table with one row per partition. Up to ``WINDOW_ROWS`` rows the plain window is cheaper
-and is used instead.
+from a table with one row per partition. This plan is used at every size; the plain window is there
+for callers who ask for it with ``distributed=False``.
+
+``rows``, where the caller knows a bound, raises the number of range partitions above the session's, so
+that a task sorts about ``ROWS_PER_TASK`` rows.
 
 The checkpoint fixes which row sits in which partition: range bounds are sampled, so they could
 differ if the frame were computed again for the second job.
@@ -16,10 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.joins import has_at_most
 from marquee.session import ensure_checkpoint_dir, shuffle_partitions
 
-WINDOW_ROWS = 200_000
+ROWS_PER_TASK = 2_000_000
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row position below
 
 
@@ -35,12 +37,19 @@ def _starts(parts: DataFrame, total: str) -> DataFrame:
     )
 
 
-def _numbered(df: DataFrame, order: Sequence[Column], before: str, total: str) -> DataFrame:
+def _ranges(df: DataFrame, order: Sequence[Column], rows: int | None) -> DataFrame:
+    """``df`` in range partitions of bounded size."""
+    ensure_checkpoint_dir(df.sparkSession)
+    needed = -(-(rows or 0) // ROWS_PER_TASK)
+    return df.repartitionByRange(max(needed, shuffle_partitions(df.sparkSession)), *order)
+
+
+def _numbered(
+    df: DataFrame, order: Sequence[Column], before: str, total: str, rows: int | None
+) -> DataFrame:
     """``rows_before`` with the number of the partition as ``_part``, stored."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     placed = (
-        df.repartitionByRange(shuffle_partitions(spark), *order)
+        _ranges(df, order, rows)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
         .checkpoint()
@@ -59,26 +68,23 @@ def _numbered(df: DataFrame, order: Sequence[Column], before: str, total: str) -
     )
 
 
-def rows_before(df: DataFrame, order: Sequence[Column], before: str, total: str) -> DataFrame:
+def rows_before(
+    df: DataFrame, order: Sequence[Column], before: str, total: str, rows: int | None = None
+) -> DataFrame:
     """Adds the number of earlier rows in ``order`` and the number of all rows.
 
     ``order`` must be total: partition bounds can then cut between any two rows, also inside a
     run of equal leading values that holds most of the table.
     """
-    return _numbered(df, order, before, total).drop("_part")
+    return _numbered(df, order, before, total, rows).drop("_part")
 
 
 def sum_before(
-    df: DataFrame, order: Sequence[Column], amount: str, before: str, total: str
+    df: DataFrame, order: Sequence[Column], amount: str, before: str, total: str,
+    rows: int | None = None,
 ) -> DataFrame:
     """Adds the sum of ``amount`` over all earlier rows in ``order`` and over all rows."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    placed = (
-        df.repartitionByRange(shuffle_partitions(spark), *order)
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint()
-    )
+    placed = _ranges(df, order, rows).withColumn("_part", F.spark_partition_id()).checkpoint()
     parts = placed.groupBy("_part").agg(F.sum(amount).alias("_in_part"))
     earlier = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
@@ -89,27 +95,24 @@ def sum_before(
     )
 
 
-def _window_is_enough(df: DataFrame, distributed: bool | None) -> bool:
-    return not distributed if distributed is not None else has_at_most(df, WINDOW_ROWS)
-
-
 def row_numbers(
-    df: DataFrame, order: Sequence[Column], name: str, distributed: bool | None = None
+    df: DataFrame, order: Sequence[Column], name: str, distributed: bool = True, rows: int | None = None
 ) -> DataFrame:
     """1-based position of each row in ``order``, which must be total."""
-    if _window_is_enough(df, distributed):
+    if not distributed:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    counted = rows_before(df, order, "_before", "_rows")
+    counted = rows_before(df, order, "_before", "_rows", rows)
     return counted.withColumn(name, F.col("_before") + 1).drop("_before", "_rows")
 
 
 def ntile(
-    df: DataFrame, tiles: int, order: Sequence[Column], name: str, distributed: bool | None = None
+    df: DataFrame, tiles: int, order: Sequence[Column], name: str, distributed: bool = True,
+    rows: int | None = None,
 ) -> DataFrame:
     """``ntile(tiles)`` over the whole frame; the first tiles take the odd rows."""
-    if _window_is_enough(df, distributed):
+    if not distributed:
         return df.withColumn(name, F.ntile(tiles).over(Window.orderBy(*order)))
-    counted = rows_before(df, order, "_before", "_rows")
+    counted = rows_before(df, order, "_before", "_rows", rows)
     size = F.floor(F.col("_rows") / tiles)
     odd = F.col("_rows") % tiles
     in_big_tiles = odd * (size + 1)
@@ -120,7 +123,7 @@ def ntile(
 
 
 def percent_rank(
-    df: DataFrame, value: str, name: str, distributed: bool | None = None
+    df: DataFrame, value: str, name: str, distributed: bool = True, rows: int | None = None
 ) -> DataFrame:
     """``percent_rank`` over the whole frame, ascending; equal values share a rank.
 
@@ -129,10 +132,10 @@ def percent_rank(
     over from there, by a table with one row per partition. Ties are cut by a hash of the row, so a
     value that most rows share is spread over tasks, and nothing is joined by value.
     """
-    if _window_is_enough(df, distributed):
+    if not distributed:
         return df.withColumn(name, F.percent_rank().over(Window.orderBy(value)))
     order = [F.col(value).asc(), F.xxhash64(*df.columns).asc()]
-    numbered = _numbered(df, order, "_before", "_rows")
+    numbered = _numbered(df, order, "_before", "_rows", rows)
     sortable = F.struct(F.col(value).isNotNull().alias("known"), F.col(value).alias("value"))
     runs = numbered.groupBy("_part", value).agg(F.min("_before").alias("first"))
     run = F.struct(sortable.alias("of"), F.col("first").alias("first"))
@@ -153,14 +156,14 @@ def percent_rank(
 
 
 def weight_buckets(
-    df: DataFrame, key: str, weight: str, distributed: bool | None = None
+    df: DataFrame, key: str, weight: str, distributed: bool = True, rows: int | None = None
 ) -> DataFrame:
     """Turns integer weights into half-open shares ``[lo, hi)`` of [0, 1) in key order.
 
     Weights are integers so that running totals are exact in any order of evaluation.
     """
     order = [F.col(key).asc()]
-    if _window_is_enough(df, distributed):
+    if not distributed:
         line = Window.orderBy(*order)
         summed = df.withColumn(
             "_before",
@@ -169,7 +172,7 @@ def weight_buckets(
             "_all", F.sum(weight).over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
         )
     else:
-        summed = sum_before(df, order, weight, "_before", "_all")
+        summed = sum_before(df, order, weight, "_before", "_all", rows)
     return summed.select(
         key,
         (F.col("_before") / F.col("_all")).alias("lo"),

@@ -64,7 +64,7 @@ def inject_faults(
 
 def continue_ids(
     df: DataFrame, start: int, order: Sequence[Column], name: str, pattern: str | None = None,
-    distributed: bool | None = None,
+    distributed: bool = True,
 ) -> DataFrame:
     """Number the rows from ``start + 1`` on, optionally formatted as text."""
     numbered = row_numbers(df, order, name, distributed).withColumn(name, F.col(name) + F.lit(start))

@@ -147,6 +147,10 @@ def test_broadcast_only_below_the_limit(spark):
 
     assert hinted(joins.broadcast_if_small(spark.range(10), 10))
     assert not hinted(joins.broadcast_if_small(spark.range(11), 10))
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("text"), F.array("id").alias("ids"))
+    assert hinted(joins.broadcast_if_small(wide, 10))
+    assert not hinted(joins.broadcast_if_small(wide, 10, max_bytes=9_000))
+    assert hinted(joins.broadcast_if_small(spark.range(0), 10))
 
 
 def test_range_bucket_join_is_exact(spark):

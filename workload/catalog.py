@@ -89,6 +89,27 @@ def bronze_stream(r: Roles) -> DataFrame:
     return shown_lineage(bronze)
 
 
+@query
+def bronze_stream_batches(r: Roles) -> DataFrame:
+    """Three deliveries in folders of different depth, few files a batch, in two runs of the stream.
+
+    The last delivery has one column more; the rows before it show NULL there.
+    """
+    entity, lines = "lines", r.raw("lineitem")
+    root = f"{ensure_checkpoint_dir(r.spark)}/batches-{uuid4().hex}"
+    lake = Lake(r.spark, Layout(f"{root}/lake", landing=f"{root}/landing"), generation=1)
+    for number, folder in enumerate(("full/deep", "later", "last")):
+        delivery = lines.where(F.pmod("l_orderkey", F.lit(3)) == number)
+        if folder == "last":
+            delivery = delivery.withColumn("promo_code", F.col("l_orderkey"))
+        landing.land(delivery, lake.layout.landing, entity, folder)
+        if number:  # the first run finds two deliveries
+            found = landing.evolve_schema(r.spark, f"{lake.layout.landing}/{entity}", lake.path("schemas", entity))
+            schema = StructType([*found.fields, *landing.LINEAGE.fields])
+            ingest(lake, entity, schema, files_per_batch=2).awaitTermination()
+    return shown_lineage(lake.bronze(entity)).drop("file")
+
+
 @query
 def landed_history(r: Roles) -> DataFrame:
     history = landing.landed_history(r.spark, f"{r.folder}/lineitem.parquet")

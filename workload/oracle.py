@@ -247,6 +247,8 @@ FEED_OUT = """booking_id, show_id, customer_id, seats_booked, ticket_amount, fee
 ORACLES: dict[str, str] = {
     "bronze_ingest": "SELECT *, TRUE AS has_lineage, 'lineitem.parquet' AS file FROM lineitem",
     "bronze_stream": "SELECT *, TRUE AS has_lineage, 'lineitem.parquet' AS file FROM lineitem",
+    "bronze_stream_batches": """SELECT *, CASE WHEN l_orderkey % 3 = 2 THEN l_orderkey END AS promo_code,
+          TRUE AS has_lineage FROM lineitem""",
     "landed_history": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem",
     "landed_row_count": " UNION ALL ".join(
         f"SELECT '{t}' AS entity, count(*) AS landed_rows FROM {t}"

@@ -105,11 +105,9 @@ class Roles:
 
     @cached_property
     def theatres(self) -> DataFrame:
-        """Key lookups add no rows, so the size check may count the supplier table alone."""
         source = draws.digest("theatre", "s_suppkey")
-        suppliers = self.raw("supplier")
         theatres = (
-            suppliers
+            self.raw("supplier")
             .join(self.raw("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .select(
@@ -122,7 +120,7 @@ class Roles:
                 (60 + draws.pick_below(341, draws.uniform(source, 1))).cast("int").alias("seat_capacity"),
             )
         )
-        return broadcast_if_small(theatres, counted=suppliers)
+        return broadcast_if_small(theatres)
 
     @cached_property
     def movies(self) -> DataFrame:
