@@ -276,6 +276,27 @@ def find_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> Da
     )
 
 
+KEYS_OF_ROW = ["_none", "_key", "_digest"]
+
+
+def row_keys(an_id: F.Column, digest: F.Column) -> list:
+    """Columns that name a row by id and text hash; a null id is a value of its own."""
+    return [an_id.isNull().alias("_none"), F.coalesce(an_id.cast("string"), F.lit("")).alias("_key"), digest.alias("_digest")]
+
+
+def smallest_row() -> F.Column:
+    """Aggregate: the smallest id with its smallest text hash; a null id comes last."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "digest"))
+
+
+def first_rows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One of the rows for each row key in ``wanted``, with the columns of both, without the keys."""
+    # The wanted rows grow with the documents: one plan at every size. Grouping needs no further shuffle.
+    both = rows.join(wanted.hint("merge"), KEYS_OF_ROW)
+    once = both.groupBy(*KEYS_OF_ROW).agg(*[F.first(c).alias(c) for c in both.columns if c not in KEYS_OF_ROW])
+    return once.drop(*KEYS_OF_ROW)
+
+
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that with the smallest id.
 
@@ -283,20 +304,9 @@ def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     repeated in id and text any one. A null id comes last.
     """
     labelled = label_components(fingerprints(docs, settings), settings)
-    first = labelled.groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "digest")).alias("first")
-    )
-    keys = ["_none", "_key", "_digest"]
-
-    def keyed(an_id: F.Column, digest: F.Column) -> list:
-        return [an_id.isNull().alias("_none"), F.coalesce(an_id.cast("string"), F.lit("")).alias("_key"), digest.alias("_digest")]
-
-    kept = stored(first.select(*keyed(F.col("first.doc_id"), F.col("first.digest"))).distinct(), "kept")
+    first = labelled.groupBy("root").agg(smallest_row().alias("first"))
+    kept = stored(first.select(*row_keys(F.col("first.doc_id"), F.col("first.digest"))).distinct(), "kept")
     names = docs.columns
     digest = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    numbered = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], *keyed(docs["doc_id"], digest))
-    # The kept ids grow with the documents: one plan at every size. Grouping needs no further shuffle.
-    once = numbered.join(kept.hint("merge"), keys).groupBy(*keys).agg(
-        *[F.first(f"c{i}").alias(f"c{i}") for i in range(len(names))]
-    )
-    return once.drop(*keys).toDF(*names)
+    numbered = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], *row_keys(docs["doc_id"], digest))
+    return first_rows(numbered, kept).toDF(*names)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from marquee.llm import (
-    decontaminate, licence_scan, line_runs, near_duplicates, nearest, packing, quality_model, token_counts, toxicity, warc,
+    decontaminate, licence_scan, line_runs, near_duplicates, nearest, packing, quality_model,
+    shingle_copies, token_counts, toxicity, warc,
 )
 from marquee.llm.queries import ORACLES, QUERIES
 from tests.compare import difference, open_tables
@@ -424,6 +425,63 @@ def test_components_of_long_chains(spark):
     assert got == want
 
 
+def shingles_of(text):
+    words = re.sub("[A-Z]", lambda m: m[0].lower(), text or "").split()
+    return frozenset(" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def kept_by_brute_force(texts, least=0.8):
+    """texts: {doc: text}; the smallest id of each group that pairs with such a Jaccard connect."""
+    docs, sets = sorted(texts), {d: shingles_of(t) for d, t in texts.items()}
+    holds = defaultdict(list)
+    for d in docs:
+        for x in sets[d]:
+            holds[x].append(d)
+    common = Counter((a, b) for v in holds.values() for i, a in enumerate(v) for b in v[i + 1 :])
+    root = {d: d for d in docs}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    pairs = [p for p, n in common.items() if n / (len(sets[p[0]]) + len(sets[p[1]]) - n) >= least]
+    empty = [d for d in docs if not sets[d]]
+    for a, b in [*pairs, *zip(empty, empty[1:], strict=False)]:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {d for d in docs if root[d] == d}
+
+
+def test_near_copies_by_brute_force(spark, documents):
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    want = kept_by_brute_force(texts)
+    out = corpus_pipeline.near_dedup(spark, documents, FOLDER)
+    assert out.columns == documents.columns
+    assert sorted(r["doc_id"] for r in out.collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("s", [shingle_copies.Settings(), shingle_copies.Settings(part_rows=16), shingle_copies.Settings(part_shingles=900)])
+def test_near_copies_in_large_groups(spark, s):
+    """Copies around the similarity, chains of copies, short texts, copies that differ in case and spaces only."""
+    rng = random.Random(5)
+    texts = {}
+    for group, size in enumerate([120, 40, 9, 2, 2]):
+        text = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([30, 60, 200]))]
+        for i in range(size):
+            words = list(text)
+            for _ in range(rng.randrange(4) if group else rng.randrange(2)):
+                words[rng.randrange(len(words))] = f"new{rng.randrange(9)}"
+            if i % 3 == 2:
+                text = words
+            texts[rng.randrange(10**9)] = " ".join(words)
+    texts |= {1: "", 2: None, 3: "a b c", 4: "A  b\tC", 5: "a b d", 6: "\n "}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    want = kept_by_brute_force(texts)
+    assert 4 < len(want) < len(texts) - 20
+    assert {r["doc_id"] for r in shingle_copies.keep_one(frame, s).collect()} == want
+
+
 # --- packing ---
 
 
