@@ -7,13 +7,15 @@ suffix array's interval with a longest common prefix of at least l; nothing read
 unequal suffixes, so names stand in for ranks and no global sort is needed. A prefix of any length
 between 2^k and 2^(k+1) is named by its two overlapping halves.
 
-A repeated run counts from ``min_words`` words on. A longer run is the union of the shortest
+A repeated run counts from ``min_words`` words on. Words are parted by white space; each character of a
+script written without spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese) counts as a word. A longer run is the union of the shortest
 sufficient runs that start or end at its lines, so doubling stops there: intervals are needed for
 lengths at which ``min_words`` is reached, and the number of rounds does not grow with the data.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,13 +32,27 @@ class Settings:
     min_words: int = 40  # words of a repeated run whose later copies are deleted
 
 
+# Thai, Lao, Burmese, Khmer; kana, Bopomofo and Han with their extensions and half-width forms.
+UNSPACED = re.compile(
+    "[\u0e01-\u0e4e\u0e81-\u0ede\u0edf\u1000-\u103f\u1780-\u17d3\u3005-\u3007\u3041-\u30ff\u3105-\u312f\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U000323af]"
+)
+
+
+def count_words(line: str) -> int:
+    """Words by white space, each character of an unspaced script as one."""
+    if line.isascii() or not UNSPACED.search(line):
+        return len(line.split())
+    return len(UNSPACED.sub(" x ", line).split())
+
+
 def line_ids(text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
     """Of the lines that are not blank: number in the text, id (two columns), words."""
     lines = [(i, x) for i, line in enumerate(text.split("\n")) if (x := line.strip())]
     if not lines:
         return [], np.zeros((0, 2), np.uint64), np.zeros(0, np.int64)
     ids = b"".join(xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for _, x in lines)
-    words = np.array([len(x.split()) for _, x in lines], dtype=np.int64)
+    words = np.array([count_words(x) for _, x in lines], dtype=np.int64)
     return [i for i, _ in lines], np.frombuffer(ids, "<u8").reshape(-1, 2), words
 
 

@@ -70,6 +70,16 @@ def test_defined_results(odd, labels, benchmark):
     assert [r["bin_id"] for r in pieces if r["doc_id"] in (1, 2, 3)] == [None] * 3
 
 
+def test_line_runs_of_scripts_without_spaces(spark):
+    for start in ("\u4e00", "\u3042", "\u30a2", "\u0e01"):
+        passage = "\n".join("".join(chr(ord(start) + i + k) for i in range(20)) for k in range(3))
+        short = "".join(chr(ord(start) + 5 + i) for i in range(30))
+        rows = [(1, f"{passage}\nown"), (2, f"other\n{passage}"), (3, short), (4, short)]
+        got = {r["doc_id"]: r["text"] for r in line_runs.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+        assert got[1] == rows[0][1] and got[2].strip() == "other" and got[3] == got[4] == short
+    assert [line_runs.count_words(x) for x in ("a b  c", "\u4e00\u4e01 b", "na\u00efve caf\u00e9")] == [3, 3, 2]
+
+
 def test_empty_tables(spark, odd, labels, benchmark):
     none = odd.limit(0)
     for name, df in per_row(none, labels, benchmark).items():
