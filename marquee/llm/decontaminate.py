@@ -51,6 +51,39 @@ def _packed(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1, bitorder="little")
 
 
+def _nth(shingle: int, n: int) -> int:
+    """Hash of the n-th occurrence (from 1) of a shingle: numbered, a bag is a set."""
+    return shingle if n == 1 else xxhash.xxh64_intdigest(shingle.to_bytes(8, "little"), n)
+
+
+def _numbered(shingles: list[int]) -> np.ndarray:
+    seen: Counter = Counter()
+    out = []
+    for x in shingles:
+        seen[x] += 1
+        out.append(_nth(x, seen[x]))
+    return np.array(out, dtype=np.uint64)
+
+
+def _window_sums(shingles: list[int], starts: list[int], ends: list[int]) -> np.ndarray:
+    """Sums of the signs of the numbered shingles of windows; each starts one shingle after the one before."""
+    first = _signs(_numbered(shingles[starts[0] : ends[0]])).sum(0, dtype=np.int64)
+    inside, gone, come = Counter(shingles[starts[0] : ends[0]]), [], []
+    for w in range(1, len(starts)):
+        out = shingles[starts[w] - 1]
+        gone.append((w, _nth(out, inside[out])))
+        inside[out] -= 1
+        for x in shingles[ends[w - 1] : ends[w]]:
+            inside[x] += 1
+            come.append((w, _nth(x, inside[x])))
+    sums = np.zeros((len(starts), 64), np.int64)
+    sums[0] = first
+    for changes, sign in ((gone, -1), (come, 1)):
+        if changes:
+            np.add.at(sums, np.array([w for w, _ in changes]), sign * _signs(np.array([h for _, h in changes], np.uint64)))
+    return np.cumsum(sums, axis=0)
+
+
 class Index:
     """A block of benchmark items: shingles, fingerprints and the eight Hamming block tables."""
 
@@ -67,9 +100,9 @@ class Index:
         for words in self.words:
             for w in words:
                 self.vocabulary.setdefault(w, len(self.vocabulary))
-        hashes = [np.array(_shingles(w, s.shingle), dtype=np.uint64) for w in self.words]
-        self.bags = [Counter(h.tolist()) for h in hashes]
-        self.prints = np.concatenate([_packed(_signs(h).sum(0, keepdims=True)) for h in hashes]) if hashes else np.zeros((0, 8), np.uint8)
+        hashes = [_shingles(w, s.shingle) for w in self.words]
+        self.bags = [Counter(h) for h in hashes]
+        self.prints = np.concatenate([_packed(_signs(_numbered(h)).sum(0, keepdims=True)) for h in hashes]) if hashes else np.zeros((0, 8), np.uint8)
         # shingle -> [(item, place)], by the word numbers of the shingle
         self.anchors: dict[tuple[int, ...], list[tuple[int, int]]] = {}
         for item, words in enumerate(self.words):
@@ -120,7 +153,8 @@ class Index:
         Windows start wherever one of the item's size holds a shared shingle. Of two shingle bags with a
         weighted Jaccard of 0.8 the fingerprints differ in about 10 of 64 bits (standard deviation
         under 3), so a radius of 24 is some five deviations away; within it the block index misses
-        nothing: 24 differing bits leave one of 8 blocks with at most 3.
+        nothing: 24 differing bits leave one of 8 blocks with at most 3. Fingerprints are of pairs of a
+        shingle and its occurrence number, so that this holds for repeated shingles too.
         """
         s = self.settings
         words = plain_words(text.lower())
@@ -138,12 +172,11 @@ class Index:
             at = np.array(sorted(places))
             for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
                 first, last = int(run[0]), min(int(run[-1]) + size, len(words))
-                hashes = np.array(_shingles(words[first:last], width), dtype=np.uint64)
-                sums = np.concatenate((np.zeros((1, 64), np.int64), np.cumsum(_signs(hashes), axis=0, dtype=np.int64)))
-                ends = np.minimum(run - first + size - width + 1, len(hashes))
-                prints = _packed(sums[ends] - sums[run - first])
+                hashes = _shingles(words[first:last], width)
+                ends = np.minimum(run - first + size - width + 1, len(hashes)).tolist()
+                prints = _packed(_window_sums(hashes, (run - first).tolist(), ends))
                 for w in np.flatnonzero(self._within(prints, item)).tolist():
-                    bag = Counter(hashes[run[w] - first : ends[w]].tolist())
+                    bag = Counter(hashes[run[w] - first : ends[w]])
                     both = sum((bag & self.bags[item]).values())
                     value = both / (bag.total() + self.bags[item].total() - both)
                     if value >= s.similarity and value > best.get(item, (0.0, 0, 0))[0]:
