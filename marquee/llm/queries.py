@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from marquee.llm.conversations import damaged, repair_conversations
 from marquee.llm.decontaminate import find_contamination
+from marquee.llm.inner_products import top_inner_products
 from marquee.llm.licence_scan import scan_licences
 from marquee.llm.line_runs import dedup_lines
 from marquee.llm.near_duplicates import find_near_duplicates
@@ -14,6 +17,7 @@ from marquee.llm.quality_model import score_quality
 from marquee.llm.token_counts import count_tokens
 from marquee.llm.toxicity import score_toxicity
 from marquee.llm.warc import archive_pages
+from marquee.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,11 +64,24 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op11_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    return top_inner_products(_table(spark, folder, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(_table(spark, folder, "embeddings")).drop("deviation_exact")
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_conversations(damaged(_table(spark, folder, "conversations")), present=F.col("present"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_warc, op3_licences, op4_neighbours, op5_token_counts, op6_decontamination,
-        op7_line_dedup, op8_near_duplicates, op9_packing, op10_quality,
+        op7_line_dedup, op8_near_duplicates, op9_packing, op10_quality, op11_top_products, op12_whitening,
+        op13_conversation_repair,
     )
 }
 
@@ -86,4 +103,21 @@ ORACLES = {
             CASE WHEN page_id = first_page THEN NULL ELSE first_page END AS refers_to
         FROM d
     """,
+    "op11_top_products": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                CAST(list_sum(list_transform(list_zip(q.x, v.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v AS q JOIN v ON q.vec_id <> v.vec_id
+            WHERE q.vec_id % 50 = 0
+        ), r AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+            FROM s
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+    """,
 }

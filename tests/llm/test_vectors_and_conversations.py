@@ -1,0 +1,299 @@
+"""Exact top-k search, whitening and conversation repair against plain versions."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marquee.llm import conversations as repair
+from marquee.llm import inner_products, whitening
+from marquee.llm.queries import ORACLES, QUERIES
+from tests.compare import difference, open_tables
+
+FOLDER = "/root/testdata/sf0.01"
+VECTORS = "vec_id bigint, embedding array<double>"
+NAN, INF = float("nan"), float("inf")
+ODD = [
+    (0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [NAN, 1.0]), (6, [INF, 1.0]), (7, [None, 1.0]),
+    (None, [1.0, 1.0]), (8, [-1.0, 0.5]), (50, [0.0, 0.0]), (1, [1.0, 0.0]), (9, []), (0, [1.0, 0.0]),
+]
+
+
+def clashing(df):
+    return df.withColumns({n: F.lit(1) for n in ("x", "square", "band", "rank", "vector", "n", "id", "conv", "done", "fault", "present")})
+
+
+# --- exact top-k ---
+
+
+def test_top_products_match_sql(spark):
+    tables = open_tables(FOLDER)
+    assert difference(QUERIES["op11_top_products"](spark, FOLDER), tables, ORACLES["op11_top_products"]) is None
+
+
+def brute_top(rows, s):
+    usable = [(i, [int(np.floor(s.scale * c)) for c in v]) for i, v in rows if i is not None and v and all(c is not None and np.isfinite(c) for c in v)]
+    out = set()
+    for query in {i for i, _ in usable if i % s.every == 0}:
+        scores = [
+            (-score, j) for k, (j, v) in enumerate(usable) if j != query
+            for score in [max(sum(a * b for a, b in zip(q, v)) for i, q in usable if i == query)]
+        ]
+        out |= {(query, r + 1, j, -score) for r, (score, j) in enumerate(sorted(scores)[: s.k])}
+    return out
+
+
+@pytest.mark.parametrize("settings", [
+    inner_products.Settings(), inner_products.Settings(k=3, every=7, band_rows=64, batch_rows=32, block_values=100),
+])
+@pytest.mark.parametrize("shape", ["ties", "lengths", "copies", "large"])
+def test_top_products_match_brute_force(spark, settings, shape):
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(600, 6))
+    if shape == "ties":
+        x = draw.integers(-2, 3, size=(600, 6)).astype(float)
+    elif shape == "lengths":
+        x *= np.exp(2 * draw.normal(size=(600, 1)))
+    elif shape == "copies":
+        x[:400] = x[0]
+    else:
+        x *= 1e5  # inner products beyond 2^53
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    df = clashing(spark.createDataFrame(rows, VECTORS).repartition(5))
+    got = {tuple(r) for r in inner_products.top_inner_products(df, settings).collect()}
+    assert got == brute_top(rows, settings)
+
+
+def test_bounds_leave_out_most_pairs(spark):
+    """On vectors of falling spectrum and different lengths few pairs are scored; without the bounds all are."""
+    draw = np.random.default_rng(4)
+    x = np.floor(256 * draw.normal(size=(20_000, 32)) * 0.8 ** np.arange(32) * np.exp(0.2 * draw.normal(size=(20_000, 1)))).astype(np.int64)
+    s = inner_products.Settings()
+    rotation = np.linalg.eigh((x.T @ x).astype(float))[1][:, ::-1]
+    cuts = [8, 16, 24, 32]
+    order = np.argsort(-(x**2).sum(1))
+    asking = inner_products.Rotated(np.arange(0, 20_000, 50), x[::50], rotation, cuts)
+    search = inner_products.Search(asking, np.full(400, -np.inf), cuts, True, s)
+    for start in range(0, len(order), 1000):
+        some = order[start : start + 1000]
+        search.show(inner_products.Rotated(some, x[some], rotation, cuts))
+    assert 400 * 1000 < search.scored < 0.1 * 400 * 20_000
+
+
+def test_odd_vectors(spark):
+    df = clashing(spark.createDataFrame(ODD, VECTORS))
+    got = sorted(tuple(r) for r in inner_products.top_inner_products(df).collect())
+    assert got == [
+        (0, 1, 2, 131072), (0, 2, 1, 65536), (0, 3, 1, 65536), (0, 4, 4, 0), (0, 5, 50, 0),
+        (50, 1, 0, 0), (50, 2, 0, 0), (50, 3, 1, 0), (50, 4, 1, 0), (50, 5, 2, 0),
+    ]
+    assert inner_products.top_inner_products(df.limit(0)).count() == 0
+    mixed = spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], VECTORS)
+    for operator in (inner_products.top_inner_products, whitening.whiten):
+        with pytest.raises(ValueError):
+            operator(mixed)
+    with pytest.raises(Exception, match="2\\^53"):
+        inner_products.top_inner_products(spark.createDataFrame([(0, [1e300])], VECTORS))
+
+
+# --- whitening ---
+
+
+def plain_whitening(x, components=8):
+    c = x - x.mean(0)
+    values, q = np.linalg.eigh(c.T @ c / len(c))
+    return values[::-1][:components], q[:, ::-1][:, :components], c
+
+
+def check_whitening(out, rows, s=whitening.Settings()):
+    ids = [i for i, _ in rows]
+    whole = np.array([[int(np.floor(s.scale * c)) + s.offset for c in v] for _, v in rows], dtype=object)
+    values, q, c = plain_whitening(whole.astype(float), s.components)
+    wide = out.pivot(index="vec_id", columns="component", values="whitened").loc[ids].to_numpy()
+    want = c @ q / np.sqrt(values)
+    assert np.allclose(wide * np.sign((wide * want).sum(0)), want, atol=1e-8)
+    first = out[out.component == 1].set_index("vec_id").loc[ids]
+    n, sums = len(rows), whole.sum(0)
+    assert first.deviation.tolist() == [int(((n * v - sums) ** 2).sum()) for v in whole]
+    assert [int(d) for d in first.deviation_exact] == first.deviation.tolist()
+    total = np.trace(c.T @ c / len(c))
+    assert np.allclose(out.groupby("component").explained.first(), values / total, rtol=1e-10)
+    assert out.identity_error.nunique() == 1 and 0 <= out.identity_error[0] < 1e-9
+    assert set(out.n) == {n}
+
+
+def test_whitening_of_the_whole_table(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
+    out = QUERIES["op12_whitening"](spark, FOLDER)
+    assert out.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    check_whitening(whitening.whiten(spark.read.parquet(f"{FOLDER}/embeddings.parquet")).toPandas(), rows)
+
+
+@pytest.mark.parametrize("dims, spectrum", [(40, "falling"), (96, "flat"), (5, "flat")])
+def test_whitening_matches_a_plain_version(spark, dims, spectrum):
+    draw = np.random.default_rng(dims)
+    x = draw.normal(size=(700, dims)) * (0.9 ** np.arange(dims) if spectrum == "falling" else 1) + 50
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    components = min(8, dims)
+    s = whitening.Settings(components=components)
+    check_whitening(whitening.whiten(clashing(spark.createDataFrame(rows, VECTORS).repartition(4)), s).toPandas(), rows, s)
+
+
+def test_filter_damps_only_the_unwanted_part():
+    class Diagonal(whitening.Centred):
+        def times(self, y):
+            return np.array([4.0, 3.0, 1.0, 0.5, 0.2])[:, None] * y
+
+    fit = Diagonal(None, whitening.Centring(1, np.zeros(5)))
+    out = whitening.chebyshev_filter(fit, np.ones((5, 1)), 9, 0.2, 1.0, 4.0)[:, 0]
+    assert abs(out[0] - 1) < 1e-9 and abs(out[2:]).max() < 1e-8 < 1e-2 < abs(out[1])
+    assert 0 <= whitening.lower_end(fit, 5, 1) <= 0.2 + 1e-9
+
+
+def test_odd_rows_are_whitened_or_left_out(spark):
+    out = whitening.whiten(clashing(spark.createDataFrame(ODD, VECTORS))).toPandas()
+    assert len(out) == 2 * 9 and out.vec_id.isna().sum() == 2 and set(out.n) == {9}
+    one_way = spark.createDataFrame([(i, [float(i), 2.0 * i, 1.0]) for i in range(6)], VECTORS)
+    assert whitening.whiten(one_way).count() == 6  # rank one: one component
+    assert whitening.whiten(spark.createDataFrame([(1, [1.0, 2.0])] * 3, VECTORS)).count() == 0
+    assert whitening.whiten(one_way.limit(0)).count() == 0
+    far = spark.createDataFrame([(i, [float(2 ** 40 * i), 1.0]) for i in range(4)], VECTORS)
+    got = whitening.whiten(far).where("vec_id = 0").first()
+    assert got["deviation"] is None and int(got["deviation_exact"]) == (6 * 2**50) ** 2
+
+
+# --- conversations ---
+
+
+def plain_repair(rows):
+    """Damage and repair, conversation by conversation: least (cost, audit) of each state, row by row."""
+    found = defaultdict(list)
+    for conv, turn, role, text in rows:
+        own = found[conv]
+        shown = [" " if v is None else v for v in (conv, turn, role, text)]
+        draw = zlib.crc32(f"{shown[0]}:{shown[1]}".encode()) % 20
+        role, text = "user" if draw == 4 else shown[2], "" if draw == 1 else shown[3]
+        text = re.sub("[.!?]", "", text) if draw == 2 else text
+        own += [(turn, role, text)] * (0 if draw == 0 else 2 if draw == 3 else 1)
+    step = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+    names = {"u": "user", "a": "assistant"}
+    out = {}
+    for conv, own in found.items():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        seen, faults = set(), []
+        for _, role, text in own:
+            bare = re.findall(r"[^\x20\x09-\x0D]", text)
+            faults.append("b" if not bare else "d" if (role, text) in seen else "" if bare[-1] in ".!?" else "t")
+            seen.add((role, text))
+        best = {"": (0, "", ())}
+
+        def better(table, state, way):
+            if state is not None and (state not in table or way[:2] < table[state][:2]):
+                table[state] = way
+                return True
+            return False
+
+        def inserted(table):
+            while any([
+                better(table, step[q].get(x), (cost + 3, audit + "I", lines + ((names[x], ""),)))
+                for q, (cost, audit, lines) in list(table.items()) for x in "ua"
+            ]):
+                pass
+            return table
+
+        best = inserted(best)
+        for (_, role, text), fault in zip(own, faults):
+            table, extra = {}, 3 if fault == "t" else 0
+            for q, (cost, audit, lines) in best.items():
+                better(table, q, (cost + 4, audit + "D", lines))
+                if fault not in ("b", "d"):
+                    better(table, step[q].get(role[:1] or "?"), (cost + extra, audit + "K", lines + ((role, text),)))
+                    for x in "ua":
+                        better(table, step[q].get(x), (cost + 3 + extra, audit + "R", lines + ((names[x], text),)))
+            best = inserted(table)
+        cost, audit, lines = min((best[q] for q in ("", "a") if q in best), key=lambda w: w[:2])
+        turns = {t for t, _, _ in own if t is not None}
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(own, own[1:]))
+        repaired = [f"{r}:{x}" for r, x in lines]
+        out[conv] = (
+            max(turns) - min(turns) + 1 - len(turns) if turns else 0, faults.count("b"), faults.count("d"), faults.count("t"),
+            illegal, cost, audit, hashlib.sha256("\n".join(repaired).encode()).hexdigest(), repaired,
+        )
+    return out
+
+
+ROLES = ["user", "assistant", "system", "tool", None, "User", "s", ""]
+TEXTS = ["Hi.", "Yes!", "no", "", " ", None, "what? ", "a.b", "end.\n", "été", " ", "?"]
+
+
+def drawn(rows, convs, turns, seed):
+    draw = random.Random(seed)
+    return [
+        (draw.choice([1, 2, None]) if draw.random() < 0.5 else draw.randrange(convs), draw.choice([None, *range(turns)]),
+         draw.choice(ROLES), draw.choice(TEXTS))
+        for _ in range(rows)
+    ]
+
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+SMALL_TASKS = repair.Settings(whole_rows=5, segment_bits=3, batch=3)
+
+
+@pytest.mark.parametrize("rows, settings", [
+    (None, repair.Settings()), (drawn(1500, 300, 12, 1), repair.Settings()), (drawn(1500, 300, 12, 1), SMALL_TASKS),
+    ([(7, i % 400, r, f"{x or ''}{i % 300}{'.' * (i % 2)}") for i, (_, _, r, x) in enumerate(drawn(1200, 1, 1, 2)) if r is not None], SMALL_TASKS),
+    ([(1, 5, "user", "Same.")] * 400 + [(2, None, None, None)], SMALL_TASKS),
+])
+def test_repair_matches_a_plain_version(spark, rows, settings):
+    if rows is None:
+        frame = spark.read.parquet(f"{FOLDER}/conversations.parquet")
+        rows = [tuple(r) for r in frame.select("conv_id", "turn", "role", "text").collect()]
+    else:
+        frame = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    broken = clashing(repair.damaged(frame).withColumn("_there", F.col("present")).drop("present"))
+    report = repair.repair_conversations(broken, settings, present=F.col("_there"))
+    lines = repair.repaired_rows(broken, settings, present=F.col("_there"))
+    want = plain_repair(rows)
+    got = {r["conv_id"]: tuple(r)[1:] for r in report.collect()}
+    assert report.count() == len(got)
+    assert got == {conv: told[:8] for conv, told in want.items()}
+    texts = defaultdict(list)
+    for r in lines.orderBy("conv_id", "place").collect():
+        texts[r["conv_id"]].append(f"{r['role']}:{r['text']}")
+    assert {conv: texts[conv] for conv in want} == {conv: told[8] for conv, told in want.items()}
+
+
+def test_repair_of_nothing_and_of_long_texts(spark):
+    assert repair.repair_conversations(spark.createDataFrame([], SCHEMA)).count() == 0
+    gone = spark.createDataFrame([(1, 0, "user", "Hi.")], SCHEMA)
+    [row] = repair.repair_conversations(gone, present=F.lit(False)).collect()
+    assert tuple(row) == (1, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    long = "word " * 200_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long + "."), (2, 0, "assistant", "�.")]
+    got = {r["conv_id"]: (r["truncated"], r["cost"], r["audit"]) for r in repair.repair_conversations(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: (1, 3, "KK"), 2: (0, 3, "IK")}
+
+
+def test_least_path_is_the_least_of_all_cheapest(spark):
+    """All cheapest audits of short conversations, by enumeration."""
+    draw = random.Random(6)
+    for _ in range(60):
+        rows = [(draw.choice(["s", "u", "a", ""]), draw.choice([repair.GOOD, repair.BLANK, repair.CUT, repair.GOOD])) for _ in range(draw.randrange(6))]
+        todo, done = [(0, repair.START, 0, "")], []
+        while todo:
+            i, state, cost, audit = todo.pop()
+            if i == len(rows) and state in (repair.START, repair.ASSISTANT):
+                done.append((cost, audit))
+            if cost > 4 * len(rows):
+                continue
+            for letter, price, to in repair.ARCS[rows[i]][state] if i < len(rows) else ():
+                todo.append((i + 1, to, cost + price, audit + repair.LETTERS[letter]))
+            todo.append((i, repair.NEXT[state], cost + 3, audit + "I"))
+        places = repair.costs_to_end(rows, list(repair.END), True)
+        [[(audit, end)]] = repair.least_audits([(rows, places, True, (repair.START,))])
+        assert (places[0][repair.START], audit) == min(done) and end in (repair.START, repair.ASSISTANT)
