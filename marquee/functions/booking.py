@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 PAYMENT_STATUSES = ("success", "failed", "refunded")
 SCREEN_TYPES = ("STANDARD", "PREMIUM", "IMAX", "RECLINER")
 LOYALTY_SEGMENTS = ("Platinum", "Gold", "Silver", "Bronze")
+PERFORMANCE_TIERS = ("underperforming", "steady", "hit")
 HIT_FROM = 0.8
 STEADY_FROM = 0.4
 
@@ -41,17 +42,9 @@ def rate(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole).cast("double")
 
 
-def loyalty_segment(quartile: Column) -> Column:
-    """Quartile 1 holds the biggest spenders."""
-    return F.elt(quartile, *[F.lit(name) for name in LOYALTY_SEGMENTS])
-
-
 def performance_tier(percentile: Column) -> Column:
-    return (
-        F.when(percentile < STEADY_FROM, "underperforming")
-        .when(percentile < HIT_FROM, "steady")
-        .otherwise("hit")
-    )
+    low, middle, high = PERFORMANCE_TIERS
+    return F.when(percentile < STEADY_FROM, low).when(percentile < HIT_FROM, middle).otherwise(high)
 
 
 def traffic_light(value: Column, amber: float, red: float) -> Column:

@@ -269,11 +269,10 @@ THEATRE_OCCUPANCY = MetricView(
 DAILY_REVENUE = MetricView(
     name="daily_revenue",
     source="fact_bookings",
-    joins={"theatre": _BOOKING_JOINS["theatre"]},
     dimensions={
         "date_key": Dimension("date_key"),
         "booking_date": Dimension("booking_date"),
-        "city": Dimension("city", "theatre"),
+        "city": Dimension("city"),  # of the theatre, looked up before
         "payment_gateway": Dimension("payment_gateway"),
     },
     measures={

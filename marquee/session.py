@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
@@ -28,10 +30,9 @@ def build_session(name: str = "marquee", master: str | None = None, **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session.
+    """The shared checkpoint folder of this session, which the cluster names in ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session that has none gets a
-    temporary folder; on a cluster a machine-local folder would not survive a lost executor.
+    There is no other place for data between stages: a machine-local folder would not survive a lost executor.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -39,12 +40,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="marquee-checkpoint-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder, removed when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def forget() -> None:
+        with contextlib.suppress(Exception):  # the JVM may have ended before
+            files.delete(where, True)
+
+    atexit.register(forget)
+    return path
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

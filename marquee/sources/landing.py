@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime, timezone
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    ByteType, DataType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructField, StructType,
+    TimestampType,
+)
 
 from marquee.sources import storage
 
 FULL_LOAD = "full_load"
+ARCHIVE = "_archive"  # below the landing area: files that were claimed for ingestion, under the same names
 LINEAGE = StructType(
     [
         StructField("_ingested_at", TimestampType()),
@@ -48,13 +52,13 @@ def landed_rows(spark: SparkSession, path: str) -> int:
 
 
 def read_full_load(spark: SparkSession, root: str, entity: str) -> DataFrame:
-    """The full delivery of an entity that only a full load brings."""
-    try:
-        return spark.read.parquet(f"{root}/{entity}/{FULL_LOAD}")
-    except AnalysisException as missing:
-        raise RuntimeError(
-            f"no full load of {entity} below {root}: run a full load before an incremental one"
-        ) from missing
+    """The full delivery of an entity that only a full load brings, ingested or not."""
+    for home in (root, f"{root}/{ARCHIVE}"):
+        try:
+            return spark.read.parquet(f"{home}/{entity}/{FULL_LOAD}")
+        except AnalysisException:
+            continue
+    raise RuntimeError(f"no full load of {entity} below {root}: run a full load before an incremental one")
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
@@ -72,30 +76,67 @@ def with_lineage(df: DataFrame) -> DataFrame:
     )
 
 
+# Types of one column that files may differ in, narrow ones first.
+_WHOLE = (ByteType(), ShortType(), IntegerType(), LongType())
+_REAL = (FloatType(), DoubleType())
+
+
+def wider(name: str, one: DataType, other: DataType) -> DataType:
+    """The type that holds the values of both: whole numbers and reals widen, all else must agree."""
+    for family in (_WHOLE, _REAL):
+        if one in family and other in family:
+            return max(one, other, key=family.index)
+    if one != other:
+        raise TypeError(f"column {name} is {one.simpleString()} in one file and {other.simpleString()} in another")
+    return one
+
+
 def merge_schemas(known: StructType | None, found: StructType) -> StructType:
-    """Known columns first and unchanged, new ones appended."""
+    """Known columns first, new ones appended; a column whose type widened has the wider one."""
     if known is None:
         return found
+    fresh = {field.name: field for field in found.fields}
+    kept = [
+        StructField(f.name, wider(f.name, f.dataType, fresh[f.name].dataType) if f.name in fresh else f.dataType)
+        for f in known.fields
+    ]
     names = set(known.fieldNames())
-    return StructType([*known.fields, *[field for field in found.fields if field.name not in names]])
+    return StructType([*kept, *[StructField(f.name, f.dataType) for f in found.fields if f.name not in names]])
 
 
-def evolve_schema(spark: SparkSession, landing: str, record: str) -> StructType:
-    """The schema to ingest ``landing`` with, remembered in ``record`` between runs.
+def groups_of_files(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], StructType]]:
+    """Files with their columns, read from the footers of exactly these files.
 
-    The footers of all landed files are looked at, in Spark tasks: a file may arrive late with an old
-    modification time, so no time window tells which files are new.
+    Spark merges the footers in tasks; files whose types differ cannot be merged and are told apart by halves.
     """
-    known = _read_record(spark, record)
-    now = datetime.now(tz=timezone.utc)
-    schema = merge_schemas(known, landed_history(spark, landing).schema)
-    record_number = len(_records(spark, record))
-    storage.write_text(
-        spark,
-        f"{record}/{record_number:08d}.json",
-        json.dumps({"schema": json.loads(schema.json()), "scanned": now.isoformat()}),
-    )
-    return schema
+    try:
+        return [(list(paths), spark.read.option("mergeSchema", "true").parquet(*paths).schema)]
+    except Exception as error:
+        if len(paths) < 2 or "CANNOT_MERGE" not in f"{error}":
+            raise
+    middle = len(paths) // 2
+    return groups_of_files(spark, paths[:middle]) + groups_of_files(spark, paths[middle:])
+
+
+def read_files(spark: SparkSession, paths: Sequence[str], record: str, number: int) -> DataFrame:
+    """Landed files with lineage, in the columns of all files so far; what they add is recorded first.
+
+    ``record`` is the folder the schemas are kept in, ``number`` tells this batch from others.
+    """
+    schema = _read_record(spark, record)
+    groups = groups_of_files(spark, paths)
+    for _, found in groups:
+        schema = merge_schemas(schema, found)
+    storage.remove(spark, f"{record}/{number:012d}.json")  # of a batch that is repeated
+    storage.write_text(spark, f"{record}/{number:012d}.json", json.dumps(json.loads(schema.json())))
+    whole = None
+    for some, own in groups:
+        rows = with_lineage(spark.read.schema(own).parquet(*some))
+        cast = [F.col(f.name).cast(schema[f.name].dataType).alias(f.name) for f in own.fields]
+        rows = rows.select(*cast, *LINEAGE.names)
+        whole = rows if whole is None else whole.unionByName(rows, allowMissingColumns=True)
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in whole.columns]
+    return whole.select("*", *missing).select(*schema.names, *LINEAGE.names)
 
 
 def _records(spark: SparkSession, record: str) -> list[str]:
@@ -103,7 +144,7 @@ def _records(spark: SparkSession, record: str) -> list[str]:
 
 
 def recorded_schema(spark: SparkSession, record: str) -> StructType:
-    """The landing schema as of the last run."""
+    """The columns of all files ingested so far."""
     schema = _read_record(spark, record)
     if schema is None:
         raise RuntimeError(f"no schema recorded in {record}")
@@ -112,10 +153,13 @@ def recorded_schema(spark: SparkSession, record: str) -> StructType:
 
 def _read_record(spark: SparkSession, record: str) -> StructType | None:
     done = _records(spark, record)
-    if not done:
-        return None
-    stored = json.loads(spark.read.text(f"{record}/{done[-1]}").first().value)
-    return StructType.fromJson(stored["schema"])
+    return StructType.fromJson(json.loads(storage.read_text(spark, f"{record}/{done[-1]}"))) if done else None
+
+
+def forget_records(spark: SparkSession, record: str) -> None:
+    """Remove all recorded schemas but the newest."""
+    for name in _records(spark, record)[:-1]:
+        storage.remove(spark, f"{record}/{name}")
 
 
 def read_fixture(spark: SparkSession, path: str) -> DataFrame:

@@ -3,23 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from uuid import uuid4
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from marquee.functions import booking, draws
 from marquee.functions.pseudonyms import pseudonym
 from marquee.operators import joins, quality, ranking, shaping
-from marquee.operators.latest import latest_per_key, merge_changes
+from marquee.operators.latest import latest_per_key
 from marquee.plans import reports, star
 from marquee.plans.metrics import BOOKING_REVENUE, PAYMENT_HEALTH, THEATRE_OCCUPANCY
-from marquee.session import ensure_checkpoint_dir
-from marquee.sources import landing
-from marquee.streaming.lake import Lake, Layout
-from marquee.streaming.refresh import FILES_PER_BATCH, ingest
-from workload.roles import Roles, day
+from marquee.session import scratch_folder
+from marquee.sources import deliveries, landing, storage
+from marquee.streaming.lake import GOLD_LAYOUT, Lake, Layout
+from marquee.streaming.parts import PartTable
+from marquee.streaming.refresh import FILES_PER_BATCH, Run, deliver, ingest, list_files, refresh
+from workload.roles import SCHEMAS, SEQUENCE, Roles, day
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +38,13 @@ INCIDENT_GATEWAY = "1-URGENT"
 INCIDENT_CITIES = ("NATION_1", "NATION_5")
 INCIDENT_DAYS = ("1997-01-01", "1997-12-31")
 INCIDENT_FAILURE_RATE = 0.88
+MERGE_BUCKETS = 16
+REFRESH_DAY = date(1998, 1, 1)
+GOLD_TOTALS = {
+    "fact_bookings": "net_revenue", "dim_customer": "lifetime_spend * length(loyalty_segment)",
+    "agg_movie_performance": "total_revenue * length(performance_tier)", "fact_show_occupancy": "seats_sold",
+    "agg_daily_revenue_summary": "total_revenue + unique_customers",
+}
 DASHBOARD = {
     "Booking Date": ("1996-01-01", "1997-12-31"),
     "City": ["NATION_1", "NATION_2", "NATION_3"],
@@ -81,12 +89,12 @@ def bronze_ingest(r: Roles) -> DataFrame:
 def bronze_stream(r: Roles) -> DataFrame:
     """The same through the ingest stream of the refresh job, into a new folder of the shared area."""
     entity = "lineitem.parquet"
-    root = f"{ensure_checkpoint_dir(r.spark)}/bronze-{uuid4().hex}"
-    lake = Lake(r.spark, Layout(root, landing=r.folder), generation=1)
-    schema = StructType([*r.raw("lineitem").schema.fields, *landing.LINEAGE.fields])
-    ingest(lake, entity, schema, FILES_PER_BATCH).awaitTermination()
-    bronze = r.spark.read.schema(schema).parquet(lake.bronze_path(entity)).select(*schema.names)
-    return shown_lineage(bronze)
+    lake = Lake(r.spark, Layout(scratch_folder(r.spark, "bronze"), landing=r.folder), generation=1)
+    files = r.spark.read.format("binaryFile").load(f"{r.folder}/{entity}")
+    files = files.select("path", F.col("length").alias("bytes"))
+    list_files(lake, entity, 1, None, 1, FILES_PER_BATCH, files)
+    ingest(lake, entity, 1).awaitTermination()
+    return shown_lineage(lake.bronze(entity))
 
 
 @query
@@ -96,17 +104,20 @@ def bronze_stream_batches(r: Roles) -> DataFrame:
     The last delivery has one column more; the rows before it show NULL there.
     """
     entity, lines = "lines", r.raw("lineitem")
-    root = f"{ensure_checkpoint_dir(r.spark)}/batches-{uuid4().hex}"
+    root = scratch_folder(r.spark, "batches")
     lake = Lake(r.spark, Layout(f"{root}/lake", landing=f"{root}/landing"), generation=1)
+    done = None
     for number, folder in enumerate(("full/deep", "later", "last")):
         delivery = lines.where(F.pmod("l_orderkey", F.lit(3)) == number)
         if folder == "last":
             delivery = delivery.withColumn("promo_code", F.col("l_orderkey"))
         landing.land(delivery, lake.layout.landing, entity, folder)
         if number:  # the first run finds two deliveries
-            found = landing.evolve_schema(r.spark, f"{lake.layout.landing}/{entity}", lake.path("schemas", entity))
-            schema = StructType([*found.fields, *landing.LINEAGE.fields])
-            ingest(lake, entity, schema, files_per_batch=2).awaitTermination()
+            claim = deliveries.claim(r.spark, lake.layout.landing, entity)
+            list_files(lake, entity, number, done, claim, files_per_batch=2)
+            ingest(lake, entity, number).awaitTermination()
+            done = claim
+    storage.remove(r.spark, lake.layout.landing)
     return shown_lineage(lake.bronze(entity)).drop("file")
 
 
@@ -297,16 +308,138 @@ def silver_customers(r: Roles) -> DataFrame:
 
 @query
 def cdc_merge_bookings(r: Roles) -> DataFrame:
-    """Three deliveries through the keyed merge: a snapshot, then newer rows, then late older ones.
+    """Three deliveries through the bucketed merge: a snapshot, then newer rows, then late older ones.
 
     Each delivery overlaps the one before, so some changes are replays.
     """
     key, sequence, at = ["booking_id"], ["_ingested_at"], F.col("_ingested_at")
+    table = PartTable(r.spark, scratch_folder(r.spark, "merge"))
     snapshot = r.booking_feed.where((at >= day("1994-01-01")) & (at < day("1996-01-01")))
-    newer = r.booking_feed.where(at >= day("1995-07-01"))
-    late = r.booking_feed.where(at < day("1994-07-01"))
-    current = latest_per_key(snapshot, key, sequence)
-    return merge_changes(merge_changes(current, newer, key, sequence), late, key, sequence)
+    state = table.merge(None, snapshot, 1, key, sequence, buckets=MERGE_BUCKETS)
+    state = table.merge(state, r.booking_feed.where(at >= day("1995-07-01")), 2, key, sequence)
+    state = table.merge(state, r.booking_feed.where(at < day("1994-07-01")), 3, key, sequence)
+    return table.read(state)
+
+
+# --- the refresh job -------------------------------------------------------------------------
+
+
+def _landing(r: Roles, name: str, **feeds: DataFrame) -> Layout:
+    """A lake of its own with a full load of all entities."""
+    root = scratch_folder(r.spark, name)
+    layout = Layout(f"{root}/lake", f"{root}/landing")
+    whole = {"theatres": r.theatres, "movies": r.movies, "customers": r.customers, "shows": r.shows, **feeds}
+    deliver(r.spark, layout, {e: df.select(*star.COLUMNS[e]) for e, df in whole.items()})
+    return layout
+
+
+def _corrected(r: Roles) -> tuple[DataFrame, DataFrame]:
+    """Of each booking id its oldest row, and the newest one where there are others."""
+    keys = ["l_orderkey", "l_linenumber"]
+    row = F.struct(*SEQUENCE)
+    ends = r.lines.groupBy(*keys).agg(F.min(row).alias("first"), F.max(row).alias("last"))
+    first = r._as_bookings(ends.select(*keys, "first.*"))
+    return first, r._as_bookings(ends.where(F.col("first") != F.col("last")).select(*keys, "last.*"))
+
+
+def _stepwise(r: Roles, name: str) -> tuple[Layout, Run]:
+    """A full load of the oldest rows, then two deliveries of corrections, each taken in by a refresh."""
+    first, corrections = _corrected(r)
+    layout = _landing(r, name, bookings=first)
+    refresh(r.spark, layout, as_of=REFRESH_DAY)
+    early = F.col("booking_date") < day("1997-01-01")
+    for folder, part in (("day=1", corrections.where(early)), ("day=2", corrections.where(~early))):
+        deliver(r.spark, layout, {"bookings": part.select(*star.COLUMNS["bookings"])}, folder)
+        done = refresh(r.spark, layout, as_of=REFRESH_DAY, compact_every=2)
+    return layout, done
+
+
+@query
+def incremental_equals_full(r: Roles) -> DataFrame:
+    """For each gold table its rows and a total after refreshes by change, and how many rows a rebuild has otherwise."""
+    layout, done = _stepwise(r, "both")
+    full = refresh(r.spark, layout, "full", as_of=REFRESH_DAY)
+    lines = []
+    for table in GOLD_LAYOUT:
+        ours, theirs = done.lake.gold(table, done.number), full.lake.gold(table, full.number)
+        both = ours.withColumn("_side", F.lit(1)).unionByName(theirs.withColumn("_side", F.lit(-1)))
+        total = F.expr(GOLD_TOTALS.get(table, "0")).cast("bigint").alias("_total")
+        sides = both.groupBy(*ours.columns).agg(
+            F.sum("_side").alias("_side"), F.count_if(F.col("_side") > 0).alias("_ours")
+        ).select("_side", "_ours", total)
+        lines.append(sides.agg(
+            F.lit(table).alias("table_name"), F.sum("_ours").alias("stored_rows"), F.sum(F.abs("_side")).alias("differing"),
+            F.sum(F.col("_total") * F.col("_ours")).alias("total"),
+        ))
+    return reduce(DataFrame.unionByName, lines)
+
+
+@query
+def refresh_quality_counts(r: Roles) -> DataFrame:
+    """Rule counts that a refresh observed while it wrote; orphans are not among them."""
+    layout = _landing(r, "quality", bookings=r.faulty_feed)
+    counts = refresh(r.spark, layout, as_of=REFRESH_DAY).lake.quality()
+    return counts.groupBy("dataset", "rule", "action").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
+
+
+@query
+def full_load_read(r: Roles) -> DataFrame:
+    """A full load that was replaced by another, read back."""
+    root, orders = scratch_folder(r.spark, "full"), r.raw("orders")
+    landing.land(orders.where(F.col("o_orderkey") % 2 == 0), root, "orders", landing.FULL_LOAD, "overwrite")
+    landing.land(orders, root, "orders", landing.FULL_LOAD, "overwrite")
+    return landing.read_full_load(r.spark, root, "orders")
+
+
+@query
+def claimed_files(r: Roles) -> DataFrame:
+    """Two deliveries, each claimed, and the history read from the archive."""
+    root, orders = scratch_folder(r.spark, "claims"), r.raw("orders")
+    for folder, even in (("full_load", 0), ("day=1", 1)):
+        landing.land(orders.where(F.col("o_orderkey") % 2 == even), root, "orders", folder)
+        claim = deliveries.claim(r.spark, root, "orders")
+    history = landing.landed_history(r.spark, f"{root}/{landing.ARCHIVE}/orders", orders.schema)
+    return history.withColumn("claims", F.lit(claim))
+
+
+@query
+def streaming_table_read(r: Roles) -> DataFrame:
+    """A stored table read as a stream, cleansed and written by a sink that keeps what it has."""
+    root = scratch_folder(r.spark, "stream")
+    orders = r.spark.readStream.schema(SCHEMAS["orders"]).option("maxFileAge", "36500d").option("recursiveFileLookup", "true").parquet(f"{r.folder}/orders.parquet")
+    rules = (quality.Rule("has_price", "o_totalprice > 0"), quality.Rule("not_urgent", "o_orderpriority <> '1-URGENT'"))
+    write = quality.passing(orders, rules).writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+    write.trigger(availableNow=True).start(f"{root}/table").awaitTermination()
+    return r.spark.read.schema(SCHEMAS["orders"]).parquet(f"{root}/table")
+
+
+@query
+def fixture_reader(r: Roles) -> DataFrame:
+    """The customers written as a CSV fixture and read back: every column is text."""
+    path = f"{scratch_folder(r.spark, 'fixture')}/customers.csv"
+    r.raw("customer").select("c_custkey", "c_name", "c_mktsegment").write.option("header", "true").csv(path)
+    return landing.read_fixture(r.spark, path)
+
+
+@query
+def dq_fail_rules(r: Roles) -> DataFrame:
+    """Rules that would stop the run hold; drop rules then remove what is left."""
+    rules = (
+        quality.Rule("has_id", "booking_id IS NOT NULL", "fail"), quality.Rule("paid", "payment_status = 'success'"),
+        quality.Rule("has_seats", "seats_booked > 0", "fail"),
+    )
+    return quality.enforce(r.booking_feed, "bookings", rules).select("booking_id", "seats_booked", "payment_status")
+
+
+@query
+def metric_equals_manual(r: Roles) -> DataFrame:
+    """Revenue by city through the metric view and by a sum written out."""
+    manual = (
+        r.fact.join(r.theatres.select("theatre_id", "city"), "theatre_id").where(booking.realized())
+        .groupBy("city").agg(F.sum("net_revenue").alias("manual"))
+    )
+    metric = BOOKING_REVENUE.query(r.tables, ["City"], ["Total Revenue"])
+    return metric.toDF("city", "metric").join(manual, "city", "left")
 
 
 # --- star schema -----------------------------------------------------------------------------
@@ -385,6 +518,17 @@ def filtered_revenue(r: Roles) -> DataFrame:
     return rounded(BOOKING_REVENUE.query(r.tables, ["City", "Payment Gateway"], filters=DASHBOARD))
 
 
+@query
+def filtered_payment_health(r: Roles) -> DataFrame:
+    return rounded(PAYMENT_HEALTH.query(r.tables, ["City", "Payment Gateway"], filters=DASHBOARD))
+
+
+@query
+def filtered_occupancy(r: Roles) -> DataFrame:
+    """The same filters: a view skips those it has no dimension for."""
+    return rounded(THEATRE_OCCUPANCY.query(r.tables, ["City", "Screen Type"], filters=DASHBOARD))
+
+
 @query
 def kpi_counters(r: Roles) -> DataFrame:
     return rounded(reports.kpi_counters(r.tables))

@@ -342,6 +342,40 @@ ORACLES: dict[str, str] = {
             fees DESC, discount DESC, payment_gateway DESC, payment_status DESC, booking_channel DESC,
             is_cancelled DESC, booking_date DESC) AS place FROM feed)
         SELECT {FEED_OUT} FROM placed WHERE place = 1""",
+    "full_load_read": "SELECT * FROM orders",
+    "claimed_files": "SELECT *, 2 AS claims FROM orders",
+    "streaming_table_read": "SELECT * FROM orders WHERE o_totalprice > 0 AND o_orderpriority <> '1-URGENT'",
+    "fixture_reader": "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer",
+    "dq_fail_rules": f"""WITH {FEED} SELECT booking_id, seats_booked, payment_status FROM feed
+        WHERE payment_status = 'success'""",
+    "refresh_quality_counts": f"""WITH {THEATRES}, {MOVIES}, {SHOWS}, {CUSTOMERS}, {REFERENCED} """
+    + " UNION ALL ".join(
+        [
+            _counts("theatres", "theatres", [
+                ("valid_theatre_id", "drop", "theatre_id IS NOT NULL"),
+                ("valid_location", "drop", "city IS NOT NULL AND state IS NOT NULL"),
+                ("valid_screen_type", "drop", "screen_type IN ('STANDARD', 'PREMIUM', 'IMAX', 'RECLINER')"),
+                ("valid_seat_capacity", "drop", "seat_capacity > 0")]),
+            _counts("movies", "movies", [
+                ("valid_movie_id", "drop", "movie_id IS NOT NULL"), ("valid_title", "drop", "title IS NOT NULL"),
+                ("valid_duration", "drop", "duration_minutes > 0"), ("valid_genre", "drop", "genre IS NOT NULL")]),
+            _counts("shows", "shows", [
+                ("valid_show_id", "drop", "show_id IS NOT NULL"), ("valid_base_price", "drop", "base_price >= 0")]),
+            _counts("customers", "customers", [
+                ("valid_customer_id", "drop", "customer_id IS NOT NULL"), ("valid_email_format", "warn", EMAIL_OK),
+                ("valid_phone_format", "warn", PHONE_OK)]),
+            _counts("bookings", "referenced", [(n, "drop", ok) for n, ok in BOOKING_OK.items()]),
+        ]
+    ),
+    "metric_equals_manual": f"""WITH {WIDE} SELECT city, sum(net_revenue)::BIGINT AS metric, sum(net_revenue)::BIGINT AS manual
+        FROM wide WHERE {REALIZED} GROUP BY city""",
+    "filtered_payment_health": f"""WITH {WIDE} SELECT city AS "City", payment_gateway AS "Payment Gateway",
+        {HEALTH_MEASURES} FROM wide
+        WHERE booking_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'
+          AND city IN ('NATION_1', 'NATION_2', 'NATION_3') AND payment_gateway IN ('1-URGENT', '5-LOW')
+        GROUP BY city, payment_gateway""",
+    "filtered_occupancy": f"""WITH {OCCUPANCY} SELECT city AS "City", screen_type AS "Screen Type", {OCCUPANCY_MEASURES}
+        FROM occupancy WHERE city IN ('NATION_1', 'NATION_2', 'NATION_3') GROUP BY city, screen_type""",
     "cdc_latest_bookings": f"WITH {BOOKINGS} SELECT {FEED_OUT} FROM bookings",
     "cdc_latest_customers": f"""WITH {CUSTOMERS}, changes AS (
           SELECT *, TIMESTAMP '1990-01-01' AS _ingested_at, CAST(-1 AS BIGINT) AS change FROM customers
@@ -520,3 +554,16 @@ ORACLES: dict[str, str] = {
         CASE WHEN c_acctbal > 5000 THEN c_acctbal / 2.0 END AS halved,
         CAST(c_custkey AS VARCHAR) AS as_text FROM customer""",
 }
+ORACLES["incremental_equals_full"] = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, CAST(count(*) AS BIGINT) AS stored_rows, CAST(0 AS BIGINT) AS differing, "
+    f"CAST(sum({total}) AS BIGINT) AS total FROM ({rows})"
+    for table, total, rows in (
+        ("dim_theatre", "0", ORACLES["dim_theatre"]), ("dim_movie", "0", ORACLES["dim_movie"]),
+        ("dim_show", "0", ORACLES["dim_show"]), ("dim_date", "0", "SELECT unnest(range(0, 1826))"),
+        ("fact_bookings", "net_revenue", ORACLES["fact_bookings"]),
+        ("dim_customer", "lifetime_spend * length(loyalty_segment)", ORACLES["dim_customer"]),
+        ("fact_show_occupancy", "seats_sold", ORACLES["show_occupancy"]),
+        ("agg_movie_performance", "total_revenue * length(performance_tier)", ORACLES["movie_performance"]),
+        ("agg_daily_revenue_summary", "total_revenue + unique_customers", ORACLES["daily_revenue_summary"]),
+    )
+)
