@@ -343,15 +343,12 @@ def _corrected(r: Roles) -> tuple[DataFrame, DataFrame]:
 
 
 def _stepwise(r: Roles, name: str) -> tuple[Layout, Run]:
-    """A full load of the oldest rows, then two deliveries of corrections, each taken in by a refresh."""
+    """A full load of the oldest rows, then a delivery of corrections, each taken in by a refresh."""
     first, corrections = _corrected(r)
     layout = _landing(r, name, bookings=first)
-    refresh(r.spark, layout, as_of=REFRESH_DAY)
-    early = F.col("booking_date") < day("1997-01-01")
-    for folder, part in (("day=1", corrections.where(early)), ("day=2", corrections.where(~early))):
-        deliver(r.spark, layout, {"bookings": part.select(*star.COLUMNS["bookings"])}, folder)
-        done = refresh(r.spark, layout, as_of=REFRESH_DAY, compact_every=2)
-    return layout, done
+    refresh(r.spark, layout, as_of=REFRESH_DAY, compact_every=1)
+    deliver(r.spark, layout, {"bookings": corrections.select(*star.COLUMNS["bookings"])}, "day=1")
+    return layout, refresh(r.spark, layout, as_of=REFRESH_DAY)
 
 
 @query
