@@ -18,9 +18,9 @@ from marquee.functions import booking
 
 @dataclass(frozen=True)
 class Part:
-    """One aggregate a measure is made of. ``distinct`` parts do not add up, the others do."""
+    """One aggregate a measure is made of. ``distinct`` parts do not add up, the others do (``bits`` by OR)."""
 
-    kind: Literal["sum", "count", "distinct"]
+    kind: Literal["sum", "count", "distinct", "bits"]
     column: str = "1"
     where: str | None = None
 
@@ -34,6 +34,8 @@ class Part:
             return F.sum(self._input())
         if self.kind == "count":
             return F.count(self._input())
+        if self.kind == "bits":
+            return F.bit_or(self._input())
         return F.count_distinct(self._input())
 
     def merged(self, partial: str) -> Column:
@@ -42,6 +44,8 @@ class Part:
             return F.sum(partial)
         if self.kind == "count":
             return F.coalesce(F.sum(partial), F.lit(0))
+        if self.kind == "bits":
+            return F.bit_or(partial)
         return F.count_distinct(partial)
 
 
@@ -112,6 +116,10 @@ class MetricView:
         partial = {part: f"_part{i}" for i, part in enumerate(parts)}
         joined = list(dict.fromkeys(d.table for d in needed.values() if d.table))
 
+        stored = self._from_rollup(getattr(tables, "rollups", ()), chosen, list(by), limits, partial)
+        if stored is not None and sets is None:
+            return _finished(stored, having, order_by, limit)
+
         source = _filtered(
             tables[self.source],
             {name: v for name, v in limits.items() if needed[name].table is None},
@@ -149,35 +157,58 @@ class MetricView:
         def aggregate(part: Part) -> Column:
             if preaggregate:
                 return part.merged(partial[part])
-            if part.kind == "sum":
-                return F.sum(partial[part])
-            return F.count(partial[part]) if part.kind == "count" else F.count_distinct(partial[part])
+            whole = {"sum": F.sum, "count": F.count, "bits": F.bit_or, "distinct": F.count_distinct}
+            return whole[part.kind](partial[part])
 
         columns = [
             measure.finish(*[aggregate(p) for p in measure.parts]).alias(name)
             for name, measure in chosen.items()
         ]
-        dims = [_named(name) for name in by]
+        dims = [named_column(name) for name in by]
         if sets is None:
             result = base.groupBy(*dims).agg(*columns)
         else:
-            result = base.groupingSets([[_named(n) for n in s] for s in sets], *dims).agg(
+            result = base.groupingSets([[named_column(n) for n in s] for s in sets], *dims).agg(
                 F.grouping_id().alias("grouping_id"), *columns
             )
-        if having:
-            result = result.where(having)
-        if order_by is not None:
-            result = result.orderBy(*order_by)
-        return result if limit is None else result.limit(limit)
+        return _finished(result, having, order_by, limit)
+
+    def _from_rollup(
+        self, rollups: Iterable, chosen: Mapping[str, Measure], by: list[str], limits: Mapping[str, Any],
+        partial: Mapping[Part, str],
+    ) -> DataFrame | None:
+        """The answer from the smallest stored aggregate that covers the question, if any does."""
+        fitting = [r for r in rollups if r.covers(self, [*by, *limits], list(partial))]
+        if not fitting:
+            return None
+
+        def kept(df: DataFrame) -> DataFrame:
+            return _filtered(df, limits, {n: n for n in limits})
+
+        def added(part: Part) -> Column:
+            total = F.sum(partial[part])
+            return total if part.kind == "sum" else F.coalesce(total, F.lit(0))
+
+        slices = min(fitting, key=lambda r: r.rows).slices(partial, by, kept)
+        columns = [m.finish(*[added(p) for p in m.parts]).alias(name) for name, m in chosen.items()]
+        return slices.groupBy(*[named_column(n) for n in by]).agg(*columns)
+
+
+def _finished(result: DataFrame, having: str | None, order_by: Iterable[Column] | None, limit: int | None) -> DataFrame:
+    if having:
+        result = result.where(having)
+    if order_by is not None:
+        result = result.orderBy(*order_by)
+    return result if limit is None else result.limit(limit)
 
 
-def _named(name: str) -> Column:
+def named_column(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
 def _filtered(df: DataFrame, limits: Mapping[str, Any], columns: Mapping[str, str]) -> DataFrame:
     for name, wanted in limits.items():
-        column = _named(columns[name])
+        column = named_column(columns[name])
         if isinstance(wanted, tuple):
             df = df.where(column.between(*wanted))
         elif isinstance(wanted, list):

@@ -13,8 +13,9 @@ from marquee.functions import booking, draws
 from marquee.functions.pseudonyms import pseudonym
 from marquee.operators import joins, quality, ranking, shaping
 from marquee.operators.latest import latest_per_key
-from marquee.plans import reports, star
-from marquee.plans.metrics import BOOKING_REVENUE, PAYMENT_HEALTH, THEATRE_OCCUPANCY
+from marquee.plans import reports, rollups, star
+from marquee.plans.metrics import BOOKING_REVENUE, PAYMENT_HEALTH, THEATRE_OCCUPANCY, MetricView
+from marquee.plans.rollups import Stored
 from marquee.session import scratch_folder
 from marquee.sources import deliveries, landing, storage
 from marquee.streaming.lake import GOLD_LAYOUT, Lake, Layout
@@ -599,6 +600,35 @@ def failure_rate_status(r: Roles) -> DataFrame:
     return rounded(reports.failure_rate_status(r.tables, ("City", "Payment Gateway"), amber=0.33, red=0.36))
 
 
+def _rolled_up(r: Roles, view: MetricView, *by: str) -> Stored:
+    """The tables with a stored aggregate of one view."""
+    folder = scratch_folder(r.spark, "rollup")
+    return Stored(r.tables, (rollups.make_rollup(view, r.tables, by, folder),))
+
+
+@query
+def unique_customers_from_partials(r: Roles) -> DataFrame:
+    """Distinct customers by day, by city and overall, all from one stored partial."""
+    tables = _rolled_up(r, BOOKING_REVENUE, "Booking Date", "City")
+    levels = []
+    for level, by in (("day", ["Booking Date"]), ("city", ["City"]), ("all", [])):
+        found = BOOKING_REVENUE.query(tables, by, ["Unique Customers"])
+        slice_ = F.concat_ws("", *[F.col(f"`{n}`").cast("string") for n in by]) if by else F.lit("")
+        levels.append(found.select(F.lit(level).alias("level"), slice_.alias("slice"), F.col("Unique Customers").alias("customers")))
+    return reduce(DataFrame.unionByName, levels)
+
+
+@query
+def kpi_counters_from_rollup(r: Roles) -> DataFrame:
+    return rounded(reports.kpi_counters(_rolled_up(r, BOOKING_REVENUE, "Booking Date", "City")))
+
+
+@query
+def heatmap_from_rollup(r: Roles) -> DataFrame:
+    tables = _rolled_up(r, PAYMENT_HEALTH, "Booking Date", "City", "Payment Gateway")
+    return rounded(reports.city_gateway_heatmap(tables))
+
+
 # --- shaping ---------------------------------------------------------------------------------
 
 

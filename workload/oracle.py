@@ -554,6 +554,12 @@ ORACLES: dict[str, str] = {
         CASE WHEN c_acctbal > 5000 THEN c_acctbal / 2.0 END AS halved,
         CAST(c_custkey AS VARCHAR) AS as_text FROM customer""",
 }
+ORACLES["kpi_counters_from_rollup"] = ORACLES["kpi_counters"]
+ORACLES["heatmap_from_rollup"] = ORACLES["city_gateway_heatmap"]
+ORACLES["unique_customers_from_partials"] = f"""WITH {WIDE}
+    SELECT 'day' AS level, CAST(booking_date AS VARCHAR) AS slice, count(DISTINCT customer_id) AS customers FROM wide GROUP BY 2
+    UNION ALL SELECT 'city', coalesce(city, ''), count(DISTINCT customer_id) FROM wide GROUP BY 2
+    UNION ALL SELECT 'all', '', count(DISTINCT customer_id) FROM wide"""
 ORACLES["incremental_equals_full"] = " UNION ALL ".join(
     f"SELECT '{table}' AS table_name, CAST(count(*) AS BIGINT) AS stored_rows, CAST(0 AS BIGINT) AS differing, "
     f"CAST(sum({total}) AS BIGINT) AS total FROM ({rows})"
