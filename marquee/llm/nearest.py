@@ -2,20 +2,22 @@
 
 Vectors are projected to a few dimensions with Gaussian (2-stable) vectors: the squared projected
 distance over the squared true distance follows a chi-square distribution with that many degrees of
-freedom. A query takes projected neighbours in order of distance, verifies each on the original vectors,
-and stops once a neighbour better than its k-th best would already have come with the wanted
-probability. Inner product is brought to distance by one more coordinate, sqrt(M^2 - |x|^2).
-
-On Spark: the upper levels of one kd-tree (fitted on a bounded sample) deal all vectors into cells; a
-query first searches its home cells, which bounds its k-th best, and then only the cells that are nearer
-in the projection than the bound allows. A cell of many vectors is dealt into chunks of bounded size,
-each with a kd-tree of its own, and the queries of a chunk into slices.
+freedom. A query takes projected neighbours in shells of growing distance, verifies them on the original
+vectors, and stops once a neighbour better than its k-th best would already have come with the wanted
+probability. Each point is judged by its own projected distance; the boxes of a kd-tree only save the
+computing of it. Inner product is brought to distance by one more coordinate, sqrt(M^2 - |x|^2), with M the
+greatest length among vectors of about the same length, so a long vector does not blur the short ones.
+
+On Spark: the upper levels of one kd-tree (fitted on a bounded sample) deal all vectors into cells, and they are
+stored in the order of cell and length. Queries go out in blocks of bounded size. A query first meets its home
+cell, which bounds its k-th best, and then every chunk that is nearer in the projection than the bound
+allows; each task keeps k rows for each query. Equal vectors are kept with their smallest ids only, so
+copies cost nothing. Vectors are not shuffled after they are placed.
 """
 
 from __future__ import annotations
 
-import heapq
-import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,19 +26,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.shared import columns_of, stored
+from marquee.llm.vectors import finite, matrix, same_length
+from marquee.session import shuffle_partitions
 
 
 @dataclass(frozen=True)
 class Settings:
     k: int = 20
     every: int = 20  # queries are the rows whose id is divisible by this
-    projected: int = 8  # dimensions of the projection
-    certainty: float = 0.97  # with which a true neighbour has come before the search stops
-    sample: int = 20_000  # rows that the upper levels of the tree are fitted on, at most
-    cells: int = 256  # leaves of the upper levels, at most
+    projected: int = 16  # dimensions of the projection
+    certainty: float = 0.95  # with which a true neighbour has come before the search stops
+    sample: int = 65_536  # rows that the upper levels of the tree are fitted on, at most
+    cells: int = 4_096  # leaves of the upper levels, at most; as many as there are chunks below that
     chunk: int = 4096  # vectors searched with one kd-tree
-    slice: int = 2048  # queries searched together
-    leaf: int = 32
+    slice: int = 1024  # queries searched together
+    leaf: int = 64
+    shells: tuple[float, ...] = (0.25, 0.5, 1.0)  # of the squared radius of the stop
+    block_values: int = 4 << 20  # components of the queries that go out together, about
+    margin: float = 1e-9  # for rounding, as a share of |q||x|
     seed: int = 5
 
 
@@ -62,17 +69,16 @@ def chi_square_quantile(p: float, degrees: int) -> float:
 
 @dataclass(frozen=True)
 class Projection:
-    """From a vector (and the largest norm) to its augmented form and its projection."""
+    """From a vector (and the greatest length of its band) to its augmented form and its projection."""
 
     matrix: np.ndarray  # (dimensions + 1) x projected
-    norm: float
 
     @staticmethod
-    def of(dimensions: int, norm: float, s: Settings) -> Projection:
-        return Projection(np.random.default_rng(s.seed).normal(size=(dimensions + 1, s.projected)), norm)
+    def of(dimensions: int, s: Settings) -> Projection:
+        return Projection(np.random.default_rng(s.seed).normal(size=(dimensions + 1, s.projected)))
 
-    def points(self, x: np.ndarray) -> np.ndarray:
-        rest = np.sqrt(np.maximum(0, self.norm**2 - (x**2).sum(1)))
+    def points(self, x: np.ndarray, top: np.ndarray | float) -> np.ndarray:
+        rest = np.sqrt(np.maximum(0, top**2 - (x**2).sum(1)))
         return x @ self.matrix[:-1] + rest[:, None] * self.matrix[-1]
 
     def queries(self, q: np.ndarray) -> np.ndarray:
@@ -134,10 +140,13 @@ class Tree:
             right = points[inner, self.axis[n]] > self.cut[n]
             node[inner] = self.child[n, right.astype(int)]
 
-    def distances(self, point: np.ndarray) -> np.ndarray:
-        """Squared distance of the point to every leaf's box."""
-        gap = np.maximum(0, np.maximum(self.low - point, point - self.high))
-        return (gap**2).sum(-1)
+    def distances(self, points: np.ndarray) -> np.ndarray:
+        """Squared distances of points to every leaf's box, one dimension at a time."""
+        out = np.zeros((len(points), len(self.low)))
+        for low, high, x in zip(self.low.T, self.high.T, points.T, strict=True):
+            gap = np.maximum(low[None] - x[:, None], x[:, None] - high[None])
+            out += np.maximum(gap, 0) ** 2
+        return out
 
 
 def _boxes(points: np.ndarray, home: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,53 +158,91 @@ def _boxes(points: np.ndarray, home: np.ndarray, count: int) -> tuple[np.ndarray
 
 
 class Chunk:
-    """Vectors of one chunk with a kd-tree over their projections."""
+    """Vectors of one band of lengths with a kd-tree over their projections."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, projection: Projection, s: Settings):
-        self.s, self.projection = s, projection
-        points = projection.points(vectors)
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, cells: np.ndarray, top: float, projection: Projection, s: Settings):
+        points = projection.points(vectors, top)
         tree, home = Tree.fit(points, s.leaf, len(points))
-        order = np.lexsort((ids, home))
-        self.ids, self.vectors, self.points = ids[order], vectors[order], points[order]
-        self.start = np.searchsorted(home[order], np.arange(len(tree.low) + 1))
+        order = np.argsort(home, kind="stable")
+        self.ids, self.vectors, self.cells, self.points, self.top = ids[order], vectors[order], cells[order], points[order], top
+        self.home = home[order]
+        self.lengths = np.sqrt((self.vectors**2).sum(1))
+        self.squares = (self.points**2).sum(1)
         self.tree = Tree(tree.axis, tree.cut, tree.child, *_boxes(points, home, len(tree.low)))
-        self.limit = chi_square_quantile(s.certainty, s.projected)
 
-    def search(self, own: int, q: np.ndarray, bound: float) -> list[tuple[float, int]]:
-        """The chunk's best (score, id) for one query; ``bound``: a score that k others reach already.
-
-        Leaves come in the order of their projected distance, the incremental nearest-neighbour order of a
-        kd-tree leaf by leaf. The test: with d the distance of the k-th best, a better one would have
-        a squared projected distance below limit x d^2 with the wanted certainty.
-        """
-        s, norm = self.s, self.projection.norm
-        point = self.projection.queries(q[None])[0]
-        far = self.tree.distances(point)
-        length = float(q @ q)
-        best: list[tuple[float, int]] = []  # heap of (score, -id)
-        for leaf in np.argsort(far, kind="stable").tolist():
-            worst = max(bound, best[0][0] if len(best) == s.k else -math.inf)
-            if worst > -math.inf and far[leaf] > self.limit * max(0.0, norm**2 + length - 2 * worst):
-                break
-            a, b = self.start[leaf], self.start[leaf + 1]
-            score = np.einsum("ij,j->i", self.vectors[a:b], q)
-            good = np.flatnonzero(score >= worst) if worst > -math.inf else np.arange(b - a)
-            for i in good.tolist():
-                found = (float(score[i]), -int(self.ids[a + i]))
-                if -found[1] == own:
-                    continue
-                if len(best) < s.k:
-                    heapq.heappush(best, found)
-                elif found > best[0]:
-                    heapq.heapreplace(best, found)
-        return [(score, -i) for score, i in best]
-
-
-def _usable(df: DataFrame) -> DataFrame:
-    """Vectors that take part: not null, not empty, no null or non-finite component, not all zero."""
-    v = F.col("vector")
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
-    return df.where(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0)).where(finite & F.exists(v, lambda x: x != 0))
+
+class Search:
+    """The best k of each query among the chunks shown so far."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, cells: np.ndarray, bound: np.ndarray, projection: Projection, s: Settings):
+        self.ids, self.vectors, self.cells, self.s = ids, vectors, cells, s
+        self.bound = bound.astype(np.float64).copy()  # a score that k candidates are known to reach
+        self.lengths = np.sqrt((vectors**2).sum(1))
+        self.points = projection.queries(vectors)
+        self.squares = (self.points**2).sum(1)
+        self.limit = chi_square_quantile(s.certainty, s.projected)
+        self.who, self.found, self.scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.verified = 0
+
+    def radius(self, who: np.ndarray, chunk: Chunk) -> np.ndarray:
+        """The squared projected distance from which on better neighbours have come with the wanted certainty."""
+        distance = chunk.top**2 + self.lengths[who] ** 2 - 2 * self.bound[who]
+        return self.limit * np.maximum(distance, 0)
+
+    def show(self, chunk: Chunk, at_home: bool) -> None:
+        """Meets the queries whose home cell is in the chunk, or all the others."""
+        asking = np.flatnonzero(np.isin(self.cells, chunk.cells)) if at_home else np.arange(len(self.ids))
+        for start in range(0, len(asking), self.s.slice):
+            self._meet(asking[start : start + self.s.slice], chunk, at_home)
+
+    def _meet(self, who: np.ndarray, chunk: Chunk, at_home: bool) -> None:
+        near = chunk.tree.distances(self.points[who]) <= self.radius(who, chunk)[:, None]
+        rows, there = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0)[chunk.home])
+        if not len(rows) or not len(there):
+            return
+        who = who[rows]
+        far = self.squares[who][:, None] + chunk.squares[there][None] - 2 * self.points[who] @ chunk.points[there].T
+        same = self.cells[who][:, None] == chunk.cells[there][None]
+        left = (same if at_home else ~same) & (self.ids[who][:, None] != chunk.ids[there][None])
+        for share in self.s.shells:
+            reach = self.radius(who, chunk)[:, None] * share
+            shell = left & (far <= reach) if np.isfinite(reach).any() else left
+            self._verify(who, there, shell, chunk)
+            left &= ~shell
+
+    def _verify(self, who: np.ndarray, there: np.ndarray, shell: np.ndarray, chunk: Chunk) -> None:
+        rows, cols = np.flatnonzero(shell.any(1)), np.flatnonzero(shell.any(0))
+        if not len(rows):
+            return
+        who, there, shell = who[rows], there[cols], shell[np.ix_(rows, cols)]
+        self.verified += int(shell.sum())
+        score = self.vectors[who] @ chunk.vectors[there].T
+        slack = self.s.margin * self.lengths[who] * chunk.lengths.max()
+        score[~shell] = -np.inf
+        floor = self.bound[who] - slack
+        if score.shape[1] > self.s.k:
+            floor = np.maximum(floor, np.partition(score, -self.s.k, axis=1)[:, -self.s.k] - 2 * slack)
+        i, j = np.nonzero(shell & (score >= floor[:, None]))
+        # Scores that count are computed pair by pair, so equal vectors get equal ones.
+        asking, given = who[i], there[j]
+        exact = np.concatenate([np.zeros(0), *[
+            np.einsum("ij,ij->i", self.vectors[asking[a : a + 65536]], chunk.vectors[given[a : a + 65536]])
+            for a in range(0, len(asking), 65536)
+        ]])
+        self._take(asking, chunk.ids[given], exact)
+
+    def _take(self, who: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        who, ids, score = (np.concatenate(p) for p in ((self.who, who), (self.found, ids), (self.scores, score)))
+        order = np.lexsort((ids, -score, who))
+        who, ids, score = who[order], ids[order], score[order]
+        place = np.arange(len(who)) - np.searchsorted(who, who)
+        full = place == self.s.k - 1
+        self.bound[who[full]] = np.maximum(self.bound[who[full]], score[full])
+        best = place < self.s.k
+        self.who, self.found, self.scores = who[best], ids[best], score[best]
+
+
+FOUND = "query_id bigint, vec_id bigint, score double"
 
 
 def nearest_neighbours(
@@ -215,135 +262,98 @@ def nearest_neighbours(
     narrow = columns_of(embeddings, vec_id=id_col, vector=vector_col).select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("vector").cast("array<double>").alias("vector")
     )
-    usable = _usable(narrow)
-    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    facts = usable.agg(
-        F.max(square).alias("norm"), F.min(F.size("vector")).alias("least"), F.max(F.size("vector")).alias("most"),
+    v = F.col("vector")
+    usable = narrow.where(F.col("vec_id").isNotNull() & finite(v)).where(F.exists(v, lambda x: x != 0))
+    # Of rows that are equal in id and vector k count at most, and of equal vectors those of the k + 1 smallest ids: for
+    # any query these hold all copies that can be among its k.
+    alike = usable.groupBy("vec_id", "vector").agg(F.least(F.count(F.lit(1)), F.lit(s.k)).alias("copies"))
+    smallest = Window.partitionBy("vector").orderBy("vec_id")
+    distinct = stored(
+        alike.withColumn("_place", F.row_number().over(smallest)).where(F.col("_place") <= s.k + 1).drop("_place"), "distinct"
+    )
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+
+    def with_band(df: DataFrame) -> DataFrame:
+        return df.withColumn("_length", length).withColumn("band", F.round(F.log2("_length")).cast("int"))
+
+    banded = with_band(distinct)
+    facts = banded.groupBy("band").agg(
+        F.max("_length").alias("top"), F.min(F.size("vector")).alias("least"), F.max(F.size("vector")).alias("most"),
         F.count(F.lit(1)).alias("rows"),
-    ).first()
+    ).toArrow().to_pylist()  # a row for each power of two of the length
     result = "query_id bigint, rank int, vec_id bigint, score double"
-    if not facts["rows"]:
+    if not facts:
         return spark.createDataFrame([], result)
-    if facts["least"] != facts["most"]:
-        raise ValueError("vectors of different lengths")
-    projection = Projection.of(facts["most"], math.sqrt(facts["norm"]) * (1 + 1e-12), s)
+    dims = same_length((min(f["least"] for f in facts), max(f["most"] for f in facts)))
+    total = sum(f["rows"] for f in facts)
+    tops = {f["band"]: f["top"] * (1 + 1e-12) for f in facts}
+    projection = Projection.of(dims, s)
+
+    def top_of(bands: np.ndarray) -> np.ndarray:
+        return np.array([tops[b] for b in bands.tolist()], float)
 
     # Upper levels of the tree, on a sample of bounded size chosen by a hash of the id.
-    share = min(1.0, s.sample / facts["rows"])
-    drawn = usable.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    sample = [r["vector"] for r in drawn.limit(2 * s.sample).select("vector").toLocalIterator()]
-    cells = int(min(s.cells, max(1, facts["rows"] // s.chunk)))
-    points = projection.points(np.array(sample, dtype=float).reshape(len(sample), facts["most"]))
-    tree, _ = Tree.fit(points, 1, cells)
-    context = spark.sparkContext
-    upper = context.broadcast((projection, tree))  # at most ``cells`` leaves
-
-    def place(batches):
-        projected, cells_of = upper.value
+    share = min(1.0, s.sample / total)
+    drawn = banded.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    sample = drawn.limit(2 * s.sample).select("vector", "band").toArrow()
+    bands = sample["band"].to_numpy()
+    points = projection.points(matrix(sample["vector"]), top_of(bands)) if len(bands) else np.zeros((0, s.projected))
+    tree, _ = Tree.fit(points, 1, int(min(s.cells, max(1, total // s.chunk))))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = _matrix(b.column("vector"))
-            if len(x):
-                cell = pa.array(cells_of.leaves(projected.points(x)), pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column("vec_id"), b.column("vector"), cell], ["vec_id", "vector", "cell"])
-
-    placed = stored(usable.mapInArrow(place, "vec_id bigint, vector array<double>, cell bigint"), "placed")
-    sizes = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().toLocalIterator()}  # <= cells rows
-    chunks = {cell: -(-n // s.chunk) for cell, n in sizes.items()}
-    number = _lookup(chunks)
-    dealt = placed.withColumn("chunk", F.pmod(F.xxhash64("vec_id", "vector"), number(F.col("cell"))).cast("bigint"))
-
-    queries = placed.where(F.col("vec_id") % s.every == 0).select(
-        F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.lit(None).cast("double").alias("bound")
-    ).distinct()
-
-    def visits(bounded: bool):
-        limit = chi_square_quantile(s.certainty, s.projected)
-
-        def run(batches):
-            projected, cells_of = upper.value
-            for b in batches:
-                q = _matrix(b.column("query"))
-                near = projected.queries(q)
-                bounds = b.column("bound").to_numpy(zero_copy_only=False)
-                row, cell = [], []
-                for i in range(len(q)):
-                    far = cells_of.distances(near[i])
-                    if bounded:
-                        bound = bounds[i]
-                        d = projected.norm**2 + float(q[i] @ q[i]) - 2 * bound
-                        go = far > far.min() if np.isnan(bound) else (far > far.min()) & (far <= limit * max(0.0, d))
-                        go = np.flatnonzero(go)
-                    else:
-                        go = np.flatnonzero(far == far.min())
-                    row += [i] * len(go)
-                    cell += go.tolist()
-                take = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("query_id").take(take), b.column("query").take(take), b.column("bound").take(take), pa.array(cell, pa.int64())],
-                    ["query_id", "query", "bound", "cell"],
-                )
-
-        return run
-
-    found_schema = "query_id bigint, vec_id bigint, score double"
-
-    def search(frame: DataFrame, bounded: bool) -> DataFrame:
-        visit = stored(
-            frame.mapInArrow(visits(bounded), "query_id bigint, query array<double>, bound double, cell bigint")
-            .where(F.col("cell").isin([*chunks]) if len(chunks) < cells else F.lit(True)), "visits"
-        )
-        asked = {r["cell"]: r["count"] for r in visit.groupBy("cell").count().toLocalIterator()}  # <= cells rows
-        slices = _lookup({cell: -(-n // s.slice) for cell, n in asked.items()})
-        left = visit.withColumn("slice", F.pmod(F.xxhash64("query_id", "query"), slices(F.col("cell"))).cast("bigint")).withColumn(
-            "chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), number(F.col("cell")) - 1))
-        )
-        right = dealt.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices(F.col("cell")) - 1)))
-        right = right.where(F.col("cell").isin([*asked]))
-
-        def meet(asking: pa.Table, there: pa.Table) -> pa.Table:
-            out: list[tuple[int, int, float]] = []
-            if asking.num_rows and there.num_rows:
-                chunk = Chunk(there["vec_id"].to_numpy(), _matrix(there["vector"]), upper.value[0], s)
-                ids, q = asking["query_id"].to_pylist(), _matrix(asking["query"])
-                bounds = asking["bound"].to_pylist()
-                for i, own in enumerate(ids):
-                    bound = -math.inf if bounds[i] is None else bounds[i]
-                    out += [(own, v, score) for score, v in chunk.search(own, q[i], bound)]
-            return pa.table({
-                "query_id": pa.array([o[0] for o in out], pa.int64()),
-                "vec_id": pa.array([o[1] for o in out], pa.int64()),
-                "score": pa.array([o[2] for o in out], pa.float64()),
-            })
-
-        keys = ("cell", "chunk", "slice")
-        return stored(
-            left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, found_schema), "found"
-        )
-
-    home = search(queries, False)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    # A bound needs k answers; a query has at most k from each chunk of its home cells.
-    bounds = home.withColumn("r", F.row_number().over(best)).where(F.col("r") == s.k).select(
-        F.col("query_id").alias("_q"), F.col("score").alias("_b")
-    )
-    wider = queries.join(bounds, F.col("query_id") == F.col("_q"), "left").select(
-        "query_id", "query", F.col("_b").alias("bound")
+            if b.num_rows:
+                x, own = matrix(b.column("vector")), b.column("band").to_numpy(zero_copy_only=False)
+                cell = tree.leaves(projection.points(x, top_of(own)))
+                yield pa.RecordBatch.from_pydict({
+                    **{c: b.column(c) for c in ("vec_id", "vector", "copies", "band")}, "cell": pa.array(cell, pa.int64()),
+                })
+
+    kinds = "vec_id bigint, vector array<double>, copies bigint, band int, cell bigint"
+    names = ["vec_id", "vector", "copies", "band"]
+    order = ["cell", "band", "_spread"]
+    tasks = max(-(-total // (64 * s.chunk)), min(shuffle_partitions(spark), -(-total // s.chunk)))
+    placed = stored(
+        banded.select(names).mapInArrow(place, kinds).withColumn("_spread", F.xxhash64("vec_id")).repartitionByRange(tasks, *order)
+        .sortWithinPartitions(*order).select("vec_id", "vector", "copies", "band", "cell"),
+        "placed",
     )
-    every = home.union(search(wider, True)) if cells > 1 else home
-    ranked = every.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= s.k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
-
 
-def _matrix(column) -> np.ndarray:
-    """Rows of an Arrow list column of equal lengths."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    values = column.flatten().to_numpy(zero_copy_only=False)
-    return values.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
-
-
-def _lookup(values: dict[int, int]):
-    """Column function: number of parts of a cell, 1 for cells not listed. ``values`` has one entry for
-    each cell at most."""
-    table = F.create_map(*[F.lit(x) for pair in values.items() for x in pair]) if values else None
-    return lambda cell: F.lit(1) if table is None else F.coalesce(table[cell], F.lit(1))
+    def asked(queries: tuple[np.ndarray, ...], bound: np.ndarray, at_home: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            search = Search(*queries, bound, projection, s)
+            for batch in batches:
+                for start in range(0, batch.num_rows, s.chunk):
+                    some = batch.slice(start, s.chunk)
+                    times = some.column("copies").to_numpy(zero_copy_only=False)
+                    ids, cells, own = (some.column(c).to_numpy(zero_copy_only=False) for c in ("vec_id", "cell", "band"))
+                    x = matrix(some.column("vector"))
+                    for band in np.unique(own).tolist():
+                        at = np.repeat(np.flatnonzero(own == band), times[own == band])
+                        search.show(Chunk(ids[at], x[at], cells[at], tops[band], projection, s), at_home)
+            yield pa.RecordBatch.from_pydict(
+                {"query_id": search.ids[search.who], "vec_id": search.found, "score": search.scores}
+            )
+
+        return stored(placed.mapInArrow(run, FOUND), "found")
+
+    every = usable.where(F.col("vec_id") % s.every == 0).distinct().withColumn("copies", F.lit(1).cast("bigint"))
+    asking = stored(with_band(every).select(names).mapInArrow(place, kinds).select("vec_id", "vector", "cell"), "asking")
+    count = asking.count()
+    blocks = -(-count * dims // s.block_values)
+    block = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(max(1, blocks)))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = spark.createDataFrame([], FOUND)
+    for number in range(blocks):  # each holds about ``block_values`` components
+        some = asking.where(block == number).toArrow()
+        if not some.num_rows:
+            continue
+        queries = some["vec_id"].to_numpy(), matrix(some["vector"]), some["cell"].to_numpy()
+        home = asked(queries, np.full(some.num_rows, -np.inf), True)
+        # A bound needs k answers, which a query has at its home or not.
+        kth = home.withColumn("r", F.row_number().over(best)).where(F.col("r") == s.k).select("query_id", "score").toArrow()
+        known = dict(zip(kth["query_id"].to_pylist(), kth["score"].to_pylist(), strict=True))
+        bound = np.array([known.get(i, -np.inf) for i in queries[0].tolist()])
+        found = found.union(home).union(asked(queries, bound, False))
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= s.k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.llm import conversations as repair
-from marquee.llm import inner_products, whitening
+from marquee.llm import inner_products, nearest, whitening
 from marquee.llm.queries import ORACLES, QUERIES
 from tests.compare import difference, open_tables
 
@@ -101,6 +101,68 @@ def test_odd_vectors(spark):
         inner_products.top_inner_products(spark.createDataFrame([(0, [1e300])], VECTORS))
 
 
+# --- approximate neighbours: how much is verified ---
+
+
+def searched(x, s, every=40):
+    """One process: cells, chunks of them, home first; share of verified pairs and recall."""
+    ids = np.arange(len(x))
+    projection = nearest.Projection.of(x.shape[1], s)
+    top = float(np.sqrt((x**2).sum(1)).max())
+    tree, cell = nearest.Tree.fit(projection.points(x, top), 1, max(1, len(x) // 500))
+    order = np.argsort(cell, kind="stable")
+    chunks = [
+        nearest.Chunk(some, x[some], cell[some], top, projection, s)
+        for a in range(0, len(x), 1000) for some in [order[a : a + 1000]]
+    ]
+    asking = ids[::every]
+    search = nearest.Search(asking, x[asking], cell[asking], np.full(len(asking), -np.inf), projection, s)
+    for at_home in (True, False):
+        for chunk in chunks:
+            search.show(chunk, at_home)
+    hits = 0
+    for q, own in enumerate(asking):
+        score = x @ x[own]
+        score[own] = -np.inf
+        hits += len(set(search.found[search.who == q]) & set(np.argsort(-score)[: s.k].tolist()))
+    return search.verified / (len(asking) * len(x)), hits / (len(asking) * s.k)
+
+
+def test_clustered_vectors_are_mostly_left_out():
+    """The stop works: on clusters a small share is verified, and a smaller one in a larger table."""
+    draw = np.random.default_rng(9)
+    shares = []
+    for rows in (4_000, 16_000):
+        centres = draw.normal(size=(rows // 100, 48))
+        x = centres[draw.integers(len(centres), size=rows)] + 0.15 * draw.normal(size=(rows, 48))
+        share, recall = searched(x / np.sqrt((x**2).sum(1))[:, None], nearest.Settings())
+        assert recall >= 0.95
+        shares.append(share)
+    assert shares[0] < 0.15 and shares[1] < 0.5 * shares[0], shares
+
+
+def test_random_vectors_keep_their_recall():
+    x = np.random.default_rng(10).normal(size=(8_000, 64))
+    share, recall = searched(x, nearest.Settings())
+    assert recall >= 0.95 and share < 1
+
+
+def test_copies_and_lengths(spark):
+    """A vector that most rows share, repeated query rows, and lengths over many powers of two: exact here."""
+    draw = np.random.default_rng(11)
+    x = draw.normal(size=(300, 6)) * 2.0 ** draw.integers(-8, 9, size=(300, 1))
+    rows = [(i, v) for i, v in enumerate(x.tolist())] + [(1000 + i, x[7].tolist()) for i in range(400)] + [(20, x[20].tolist())] * 30
+    df = spark.createDataFrame(rows, VECTORS).repartition(5)
+    s = nearest.Settings(certainty=1 - 1e-12, k=5)
+    got = defaultdict(list)
+    for r in nearest.nearest_neighbours(df, s).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"]))
+    for query in {i for i, _ in rows if i % s.every == 0}:
+        own = next(v for i, v in rows if i == query)
+        scores = sorted((-float(np.einsum("ij,ij->i", np.array([v]), np.array([own]))[0]), i) for i, v in rows if i != query)
+        assert [i for _, i in sorted(got[query])] == [i for _, i in scores[:5]], query
+
+
 # --- whitening ---
 
 
