@@ -86,9 +86,16 @@ class MetricView:
     source: str
     dimensions: Mapping[str, Dimension]
     measures: Mapping[str, Measure]
+    comments: Mapping[str, str] = field(default_factory=dict)
+    """What the view (under its own name), its dimensions and its measures mean."""
     joins: Mapping[str, tuple[str, str]] = field(default_factory=dict)
     """Join name to (table, key); the table is unique by key, so a left join keeps every row."""
 
+    def described(self) -> list[tuple[str, str, str]]:
+        """(kind, name, comment) of the view, its dimensions and its measures; undescribed ones are an error."""
+        names = [("view", self.name), *[("dimension", d) for d in self.dimensions], *[("measure", m) for m in self.measures]]
+        return [(kind, name, self.comments[name]) for kind, name in names]
+
     def query(
         self,
         tables: Mapping[str, DataFrame],
@@ -173,6 +180,13 @@ class MetricView:
             )
         return _finished(result, having, order_by, limit)
 
+    def with_comments(self, result: DataFrame) -> DataFrame:
+        """A result whose columns carry their comments, as a stored table then shows them."""
+        return result.select(*[
+            named_column(c).alias(c, metadata={"comment": self.comments[c]}) if c in self.comments else named_column(c)
+            for c in result.columns
+        ])
+
     def _from_rollup(
         self, rollups: Iterable, chosen: Mapping[str, Measure], by: list[str], limits: Mapping[str, Any],
         partial: Mapping[Part, str],
@@ -231,6 +245,23 @@ def _broadcastable(df: DataFrame) -> bool:
     return sum(sizes) <= threshold
 
 
+# Comments of the views, their dimensions and measures, in our words.
+_COMMENTS = {
+    "booking_revenue": "Revenue, volume, cancellations and customers of bookings",
+    "payment_health": "How often payments fail, and where",
+    "theatre_occupancy": "How full the shows were",
+    "Booking Date": "Day of the booking", "City": "City of the theatre", "Movie Title": "Title of the movie",
+    "Genre": "Genre of the movie", "Theatre Name": "Name of the theatre", "Booking Channel": "Where it was booked",
+    "Payment Gateway": "Who processed the payment", "Screen Type": "Kind of screen", "Show Date": "Day of the show",
+    "Total Revenue": "Net revenue of paid bookings that were not cancelled", "Total Bookings": "All bookings",
+    "Successful Bookings": "Bookings that were paid", "Failed Bookings": "Bookings whose payment failed",
+    "Average Ticket Price": "Ticket amount for each paid booking that was not cancelled",
+    "Cancellation Rate": "Cancelled bookings over all bookings", "Unique Customers": "Customers with a booking",
+    "Payment Failure Rate": "Failed bookings over all bookings", "Show Count": "Shows",
+    "Total Seat Capacity": "Seats offered", "Total Seats Sold": "Seats of paid bookings that were not cancelled",
+    "Occupancy Rate": "Seats sold over seats offered",
+}
+
 _BOOKING_JOINS = {
     "theatre": ("dim_theatre", "theatre_id"),
     "movie": ("dim_movie", "movie_id"),
@@ -238,6 +269,7 @@ _BOOKING_JOINS = {
 
 BOOKING_REVENUE = MetricView(
     name="booking_revenue",
+    comments=_COMMENTS,
     source="fact_bookings",
     joins=_BOOKING_JOINS,
     dimensions={
@@ -264,6 +296,7 @@ BOOKING_REVENUE = MetricView(
 
 PAYMENT_HEALTH = MetricView(
     name="payment_health",
+    comments=_COMMENTS,
     source="fact_bookings",
     joins={"theatre": _BOOKING_JOINS["theatre"]},
     dimensions={
@@ -280,6 +313,7 @@ PAYMENT_HEALTH = MetricView(
 
 THEATRE_OCCUPANCY = MetricView(
     name="theatre_occupancy",
+    comments=_COMMENTS,
     source="fact_show_occupancy",
     joins={"theatre": _BOOKING_JOINS["theatre"]},
     dimensions={

@@ -40,8 +40,11 @@ def city_gateway_heatmap(tables: Tables, filters: Filters = None) -> DataFrame:
     )
 
 
-def city_gateway_grid(tables: Tables, gateways: list[str], filters: Filters = None) -> DataFrame:
-    """Wide form of the heatmap: one column per gateway."""
+def city_gateway_grid(tables: Tables, gateways: list[str] | None = None, filters: Filters = None) -> DataFrame:
+    """Wide form of the heatmap: one column per gateway, all that occur or the ones asked for.
+
+    Naming them spares a job that looks for them.
+    """
     cells = city_gateway_heatmap(tables, filters)
     return cells.groupBy("City").pivot("Payment Gateway", gateways).agg(F.first("Payment Failure Rate"))
 

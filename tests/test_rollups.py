@@ -97,3 +97,41 @@ def test_the_daily_summary_answers_payment_reports(spark, roles):
     assert "l_orderkey" not in sources(ours)
     assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
     assert "l_orderkey" in sources(reports.revenue_by(stored, "City"))
+
+
+def test_a_filter_on_any_clustered_column_skips_most_files(spark, tmp_path):
+    import pyarrow.parquet as pq
+    from pathlib import Path
+
+    from marquee.operators import clustering
+
+    df = spark.range(40_000).select(
+        F.pmod(F.xxhash64("id"), F.lit(365)).alias("day"), F.concat(F.lit("T"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(300))).alias("place"), "id"
+    )
+    clustering.write_interleaved(df, str(tmp_path / "z"), ["day", "place"], 64)
+    files = [pq.ParquetFile(f).metadata.row_group(0) for f in Path(tmp_path, "z").glob("*.parquet")]
+    stats = [[g.column(i).statistics for i in (0, 1)] for g in files]
+    assert len(files) > 40 and spark.read.parquet(str(tmp_path / "z")).count() == 40_000
+    for column, value in ((0, 180), (1, "T150")):
+        opened = sum(s[column].min <= value <= s[column].max for s in stats)
+        # 8 of 64 with files cut along the ranges, about twice that as their bounds are sampled.
+        assert opened <= len(files) / 3, (column, opened)
+    numbers = clustering.range_number("v", [2, 5])
+    got = spark.createDataFrame([(None,), (1,), (2,), (4,), (9,)], "v int").select("v", numbers.alias("n")).collect()
+    assert [r["n"] for r in got] == [0, 0, 1, 1, 2]
+    assert clustering.range_bounds(df.limit(0), "day") == []
+
+
+def test_views_describe_themselves(spark, roles):
+    from marquee.plans.metrics import THEATRE_OCCUPANCY, VIEWS
+
+    for view in (*VIEWS.values(), THEATRE_OCCUPANCY):
+        lines = view.described()
+        assert len(lines) == 1 + len(view.dimensions) + len(view.measures) and all(c for *_, c in lines)
+    shown = PAYMENT_HEALTH.with_comments(PAYMENT_HEALTH.query(roles.tables, ["City"]))
+    assert [f.metadata["comment"] for f in shown.schema.fields][:2] == ["City of the theatre", "All bookings"]
+
+
+def test_the_grid_finds_its_gateways(spark, roles):
+    every = reports.city_gateway_grid(roles.tables)
+    assert set(every.columns) == {"City", "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"}

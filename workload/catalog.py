@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from marquee.functions import booking, draws
 from marquee.functions.pseudonyms import pseudonym
 from marquee.operators import joins, quality, ranking, shaping
+from marquee.operators.clustering import write_interleaved
 from marquee.operators.latest import latest_per_key
 from marquee.plans import reports, rollups, star
 from marquee.plans.metrics import BOOKING_REVENUE, PAYMENT_HEALTH, THEATRE_OCCUPANCY, MetricView
@@ -40,6 +41,7 @@ INCIDENT_CITIES = ("NATION_1", "NATION_5")
 INCIDENT_DAYS = ("1997-01-01", "1997-12-31")
 INCIDENT_FAILURE_RATE = 0.88
 MERGE_BUCKETS = 16
+CLUSTER_FILES = 64
 REFRESH_DAY = date(1998, 1, 1)
 GOLD_TOTALS = {
     "fact_bookings": "net_revenue", "dim_customer": "lifetime_spend * length(loyalty_segment)",
@@ -380,6 +382,35 @@ def refresh_quality_counts(r: Roles) -> DataFrame:
     return counts.groupBy("dataset", "rule", "action").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
 
 
+@query
+def clustered_lines(r: Roles) -> DataFrame:
+    """lineitem clustered by ship date and supplier alike, then read with a filter on the second."""
+    path = scratch_folder(r.spark, "clustered")
+    write_interleaved(r.raw("lineitem"), path, ["l_shipdate", "l_suppkey"], files=CLUSTER_FILES)
+    stored = r.spark.read.schema(SCHEMAS["lineitem"]).parquet(path)
+    return stored.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity"))
+
+
+@query
+def weight_thresholds(r: Roles) -> DataFrame:
+    """Running shares of the priorities' frequencies, as the thresholds of a weighted draw."""
+    counts = r.raw("orders").groupBy("o_orderpriority").count().orderBy("o_orderpriority").toLocalIterator()
+    names, weights = zip(*[(row["o_orderpriority"], row["count"]) for row in counts], strict=True)  # five
+    shares = zip(names, draws.thresholds(weights), strict=True)
+    return rounded(landing.lookup_table(r.spark, list(shares), "o_orderpriority string, upto double"))
+
+
+@query
+def metric_comments(r: Roles) -> DataFrame:
+    """What stands in a stored result of a view: each column with its comment, and its rows."""
+    result = PAYMENT_HEALTH.with_comments(PAYMENT_HEALTH.query(r.tables, ["City"]))
+    path = scratch_folder(r.spark, "comments")
+    result.write.parquet(path)
+    stored = r.spark.read.parquet(path)
+    lines = [(f.name, f.metadata.get("comment")) for f in stored.schema.fields]
+    return landing.lookup_table(r.spark, lines, "name string, comment string").withColumn("cities", F.lit(stored.count()))
+
+
 @query
 def full_load_read(r: Roles) -> DataFrame:
     """A full load that was replaced by another, read back."""

@@ -554,6 +554,13 @@ ORACLES: dict[str, str] = {
         CASE WHEN c_acctbal > 5000 THEN c_acctbal / 2.0 END AS halved,
         CAST(c_custkey AS VARCHAR) AS as_text FROM customer""",
 }
+ORACLES["clustered_lines"] = "SELECT l_suppkey, count(*) AS lines, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_suppkey"
+ORACLES["weight_thresholds"] = """SELECT o_orderpriority, round(sum(n) OVER (ORDER BY o_orderpriority)::DOUBLE / sum(n) OVER (), 6) AS upto
+    FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1)"""
+ORACLES["metric_comments"] = f"""WITH {WIDE}, c AS (SELECT CAST(count(DISTINCT coalesce(city, '')) AS INTEGER) AS cities FROM wide)
+    SELECT * FROM (VALUES ('City', 'City of the theatre'), ('Total Bookings', 'All bookings'),
+      ('Failed Bookings', 'Bookings whose payment failed'), ('Payment Failure Rate', 'Failed bookings over all bookings'))
+      AS t(name, comment), c"""
 ORACLES["kpi_counters_from_rollup"] = ORACLES["kpi_counters"]
 ORACLES["heatmap_from_rollup"] = ORACLES["city_gateway_heatmap"]
 ORACLES["unique_customers_from_partials"] = f"""WITH {WIDE}
