@@ -171,28 +171,11 @@ def read_fixture(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"unsupported fixture type: {path}")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores when its files would keep less than half of them busy.
-
-    Few or unsplittable files are read by few tasks, and everything up to the next shuffle stays
-    there. A scan with enough splits is returned as it is. ``scan`` must be a plain file scan.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    splits = scan._jdf.queryExecution().toRdd().getNumPartitions()
-    return scan.repartition(cores) if splits < cores / 2 else scan
-
-
 def lookup_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small table from literal rows, with its schema spelled out."""
     return spark.createDataFrame(rows, schema)
 
 
-def row_source(spark: SparkSession, rows: int, rows_per_task: int = 1_000_000) -> DataFrame:
-    """``rows`` numbered rows made inside the tasks, one task per ``rows_per_task``."""
-    tasks = max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_task))
-    return spark.range(0, rows, 1, tasks)
-
-
 def preview(df: DataFrame, rows: int = 100, by: list[str] | None = None) -> DataFrame:
     """The first rows; with ``by`` always the same ones."""
     return (df.orderBy(*by) if by else df).limit(rows)

@@ -170,6 +170,43 @@ def test_range_bucket_join_is_exact(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+def test_range_bins_hold_few_buckets_each(spark):
+    """Half of all buckets crowd into a thousandth of the range, the rest follow Zipf's law."""
+    widths = [1e-3 / 5000] * 5000 + [1 / (k + 1) for k in range(5000)]
+    total, at, buckets = sum(widths), 0.0, []
+    for i, width in enumerate(widths):
+        buckets.append((i, at / total, (at + width) / total))
+        at += width
+    df = spark.createDataFrame(buckets, "b int, lo double, hi double")
+    crowded = {}
+    for bins in (4096, 256):
+        bin_of = joins.range_bins(df, bins=bins)
+        spread = df.select(F.explode(F.sequence(bin_of(F.col("lo")), bin_of(F.col("hi")))).alias("bin"))
+        sizes = spread.groupBy("bin").count()
+        crowded[bins] = sizes.agg(F.max("count")).first()[0]
+        assert spread.count() <= 6 * len(buckets)
+    assert crowded[4096] <= 5 and crowded[256] <= 41, crowded
+    points = spark.range(2000).select("id", ((F.col("id") + 0.5) / 2000).alias("v"))
+    for bins in (4096, 256, 1):
+        joined = joins.range_bucket_join(points, df, "v", bins=bins)
+        assert joined.count() == 2000 and joined.where("v < lo or v >= hi").isEmpty()
+
+
+def test_orphans_are_found_in_one_stored_comparison(spark, monkeypatch):
+    stored = []
+    kept = type(spark.range(1)).checkpoint
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda df, *a: stored.append(1) or kept(df, *a))
+    df = spark.createDataFrame([(1, "a", 7), (2, "7", 8), (3, None, None)], "id int, fa string, fb bigint")
+    parents = {
+        "fa": spark.createDataFrame([("a",), (None,)], "fa string"),
+        "fb": spark.createDataFrame([(7,), (7,)], "key int"),
+    }
+    found = {r.id: list(r._missing) for r in joins.tag_orphans(df, parents).collect()}
+    assert found == {1: [], 2: ["fa", "fb"], 3: ["fa", "fb"]}
+    assert len(stored) == 1
+    assert joins.tag_orphans(df, {}).where(F.size("_missing") == 0).count() == 3
+
+
 @pytest.mark.parametrize("distributed", [True, False])
 def test_weight_buckets_cover_everything(spark, distributed):
     weights = spark.createDataFrame([("a", 92), ("b", 5), ("c", 0), ("d", 3)], "k string, w bigint")

@@ -139,8 +139,11 @@ def landed_row_count(r: Roles) -> DataFrame:
 
 @query
 def row_source_range(r: Roles) -> DataFrame:
-    rows = landing.row_source(r.spark, landing.landed_rows(r.spark, f"{r.folder}/orders.parquet"))
-    return rows.select("id", F.format_string("BKG-%08d", F.col("id") + 1).alias("booking_id"))
+    """The rows of a table as a numbered source, numbered over range partitions."""
+    rows = ranking.row_numbers(r.raw("orders").select("o_orderkey"), [F.col("o_orderkey")], "number")
+    return rows.select(
+        "o_orderkey", (F.col("number") - 1).alias("id"), F.format_string("BKG-%08d", "number").alias("booking_id")
+    )
 
 
 @query

@@ -254,8 +254,8 @@ ORACLES: dict[str, str] = {
         f"SELECT '{t}' AS entity, count(*) AS landed_rows FROM {t}"
         for t in ("customer", "orders", "lineitem", "part", "supplier")
     ),
-    "row_source_range": """SELECT i AS id, printf('BKG-%08d', i + 1) AS booking_id
-        FROM (SELECT unnest(range(0, (SELECT count(*) FROM orders))) AS i)""",
+    "row_source_range": """SELECT o_orderkey, i - 1 AS id, printf('BKG-%08d', i) AS booking_id
+        FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS i FROM orders)""",
     "lookup_inline": "SELECT c_custkey, substr(c_mktsegment, 1, 2) AS code FROM customer",
     "dim_date": """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS date,
           CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,

@@ -15,10 +15,8 @@ from pyspark.sql import functions as F
 from marquee.functions import draws
 from marquee.functions.booking import SCREEN_TYPES
 from marquee.operators import shaping
-from marquee.operators.joins import broadcast_if_small
 from marquee.operators.latest import latest_per_key
 from marquee.plans import star
-from marquee.sources.landing import spread
 
 # Fixed values of the binding.
 SCREEN_WEIGHTS = (55, 25, 10, 10)
@@ -101,12 +99,12 @@ class Roles:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return spread(self.raw("lineitem"))
+        return self.raw("lineitem")
 
     @cached_property
     def theatres(self) -> DataFrame:
         source = draws.digest("theatre", "s_suppkey")
-        theatres = (
+        return (
             self.raw("supplier")
             .join(self.raw("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -120,7 +118,6 @@ class Roles:
                 (60 + draws.pick_below(341, draws.uniform(source, 1))).cast("int").alias("seat_capacity"),
             )
         )
-        return broadcast_if_small(theatres)
 
     @cached_property
     def movies(self) -> DataFrame:
