@@ -1,16 +1,17 @@
-"""Line dedup: repeated runs of lines by prefix doubling over line ids, later copies deleted.
-
-Every text is a sequence of line ids (128-bit hashes; blank lines do not count). Round k names the
-prefixes of 2^k lines of every suffix: a name is made of the names of its two halves, and one shuffle
-tells which names repeat and where they stand first. The suffixes that share a name of length l are the
-suffix array's interval with a longest common prefix of at least l; nothing reads the order between
-unequal suffixes, so names stand in for ranks and no global sort is needed. A prefix of any length
-between 2^k and 2^(k+1) is named by its two overlapping halves.
-
-A repeated run counts from ``min_words`` words on. Words are parted by white space; each character of a
-script written without spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese) counts as a word. A longer run is the union of the shortest
-sufficient runs that start or end at its lines, so doubling stops there: intervals are needed for
-lengths at which ``min_words`` is reached, and the number of rounds does not grow with the data.
+"""Line dedup: a suffix array over line ids by distributed prefix doubling, later copies of repeated runs deleted.
+
+Every text is a sequence of line ids (128-bit hashes; blank lines do not count). The distinct lines that
+repeat are sorted over range partitions; a line's place in that order is its rank. Round k ranks the suffixes
+by their first 2^k lines: their key is the pair of ranks of the two halves, and the distinct keys
+that repeat are sorted and numbered again. A suffix whose key stands once has no common prefix of that length
+with any other and drops out, so a round sorts only what is still tied, each key once however often it stands.
+
+Suffixes of one rank are an interval of the suffix array whose longest common prefix is 2^k at least; for a
+length between 2^k and 2^(k+1) the two overlapping halves give it. A repeated run counts from ``min_words`` words
+on, so of the intervals those count whose common prefix reaches that. Words are parted by white space;
+each character of a script written without spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese) counts as a
+word. A maximal repeated run is the union of the shortest sufficient runs that start or end at its lines. So the
+order beyond them is not needed, doubling stops there, and the number of rounds does not grow with the data.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.shared import map_rows, stored, texts_of
+from marquee.operators.ranking import row_numbers
 
 
 @dataclass(frozen=True)
@@ -56,34 +58,16 @@ def line_ids(text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
     return [i for i, _ in lines], np.frombuffer(ids, "<u8").reshape(-1, 2), words
 
 
-_LEFT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
-_RIGHT = np.array([0xD6E8FEB86659FD93, 0x165667B19E3779F9], np.uint64)
-_MORE = np.array([0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
-
-
-def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Names made of two names each."""
-    key = left * _LEFT + ((right << np.uint64(31)) | (right >> np.uint64(33))) * _RIGHT + _MORE
-    key = (key ^ (key >> np.uint64(32))) * _MORE
-    return key ^ (key >> np.uint64(29))
-
-
-def prefix_names(ids: np.ndarray, level: int) -> np.ndarray:
-    """Names of the 2^level lines from each place on, as far as there are so many."""
-    for k in range(level):
-        ids = joined(ids[: -(1 << k)], ids[1 << k :]) if len(ids) > 1 << k else ids[:0]
-    return ids
-
-
-def _flags(places: list[int] | None, count: int) -> np.ndarray:
-    out = np.zeros(max(0, count), bool)
-    if places:
-        out[places] = True
+def dense(hits: list[dict] | None, count: int) -> np.ndarray:
+    """Ranks by place from (place, rank) pairs; -1 where a prefix stands nowhere else."""
+    out = np.full(max(0, count), -1, np.int64)
+    if hits:
+        out[[h["place"] for h in hits]] = [h["rank"] for h in hits]
     return out
 
 
-def candidates(words: np.ndarray, level: int, repeated: np.ndarray | None, least: int) -> np.ndarray:
-    """Places whose prefix of 2^level lines needs a name: both halves repeat, and without its first or
+def candidates(words: np.ndarray, level: int, halves: np.ndarray | None, least: int) -> np.ndarray:
+    """Places whose prefix of 2^level lines needs a rank: both halves have one, and without its first or
     without its last line it has too few words."""
     size = 1 << level
     count = len(words) - size + 1
@@ -92,8 +76,8 @@ def candidates(words: np.ndarray, level: int, repeated: np.ndarray | None, least
     sums = np.concatenate(([0], np.cumsum(words)))
     total = sums[size:] - sums[:count]
     short = (total - words[:count] < least) | (total - words[size - 1 :] < least)
-    if repeated is not None:
-        short &= repeated[:count] & repeated[size // 2 : size // 2 + count]
+    if halves is not None:
+        short &= (halves[:count] >= 0) & (halves[size // 2 : size // 2 + count] >= 0)
     return np.flatnonzero(short)
 
 
@@ -108,9 +92,9 @@ def shortest_runs(words: np.ndarray, least: int) -> list[tuple[int, int]]:
     return sorted((s, m) for s, m in runs if m > 0)
 
 
-def _classes(named: DataFrame, name: str) -> DataFrame:
-    """Names that stand more than once, with the smallest document id. Counted before the shuffle."""
-    found = named.groupBy("n1", "n2").agg(F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("first_doc"))
+def _repeated(keyed: DataFrame, key: list[str], name: str) -> DataFrame:
+    """Keys that stand more than once, with the smallest document id. Counted before the shuffle."""
+    found = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("first_doc"))
     return stored(found.where("times > 1").drop("times"), name)
 
 
@@ -128,86 +112,82 @@ def repeated_runs(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
         for b in batches:
             lines = [line_ids(t) for t in b["text"]]
             yield {
-                "doc_id": b["doc_id"], "digest": b["digest"],
+                "doc_id": b["doc_id"], "digest": b["digest"], "words": [x[2] for x in lines],
                 "h1": [x[1][:, 0].view(np.int64) for x in lines],
                 "h2": [x[1][:, 1].view(np.int64) for x in lines],
-                "words": [x[2] for x in lines],
             }
 
-    state = stored(
-        map_rows(texts, read, f"{key}, h1 array<bigint>, h2 array<bigint>, words array<bigint>"), "lines"
+    lines = stored(
+        map_rows(texts, read, f"{key}, words array<bigint>, h1 array<bigint>, h2 array<bigint>"), "lines"
     )
+    first = F.explode(F.arrays_zip("h1", "h2")).alias("line")
+    found = _repeated(lines.select("doc_id", first).select("doc_id", "line.*"), ["h1", "h2"], "repeated0")
+    state, level = lines, 0
+    while not found.isEmpty():
+        pair = [c for c in found.columns if c != "first_doc"]
+        ranks = row_numbers(found.select(*pair), [F.col(c) for c in pair], "rank")
+        if level:
+            places = keyed
+        else:
+            each = F.posexplode(F.arrays_zip("h1", "h2")).alias("place", "line")
+            places = lines.select("doc_id", "digest", each).select("doc_id", "digest", "place", "line.*")
+        hits = (
+            places.join(ranks, pair).groupBy("doc_id", "digest")
+            .agg(F.collect_set(F.struct(F.col("place").cast("bigint").alias("place"), "rank")).alias(f"r{level}"))
+        ).withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
+        match = state["doc_id"].eqNullSafe(hits["_id"]) & (state["digest"] == hits["_digest"])
+        # A text without repeated lines has no repeated run. Behind the first round the lines themselves are not carried on.
+        state = stored(state.join(hits, match, "left" if level else "inner").drop("_id", "_digest", "h1", "h2"), f"state{level}")
+        level += 1
 
-    def ids_of(b: dict, i: int) -> np.ndarray:
-        pair = np.array([b["h1"][i], b["h2"][i]], dtype=np.int64).reshape(2, -1)
-        return np.ascontiguousarray(pair.T).view(np.uint64)
-
-    level = 0
-    while True:
-
-        def name(batches: Iterator[dict], level: int = level) -> Iterator[dict]:
+        def halves(batches: Iterator[dict], level: int = level) -> Iterator[dict]:
+            half = 1 << (level - 1)
             for b in batches:
                 out: dict[str, list] = {c: [] for c in ("doc_id", "digest", "place", "n1", "n2")}
                 for i, doc in enumerate(b["doc_id"]):
                     words = np.array(b["words"][i], dtype=np.int64)
-                    before = None
-                    if level:
-                        before = _flags(b[f"r{level - 1}"][i], len(words) - (1 << (level - 1)) + 1)
-                    places = candidates(words, level, before, least)
-                    if len(places):
-                        names = prefix_names(ids_of(b, i), level)[places].view(np.int64)
-                        out["doc_id"] += [doc] * len(places)
-                        out["digest"] += [b["digest"][i]] * len(places)
-                        out["place"] += places.tolist()
-                        out["n1"] += names[:, 0].tolist()
-                        out["n2"] += names[:, 1].tolist()
+                    before = dense(b[f"r{level - 1}"][i], len(words) - half + 1)
+                    at = candidates(words, level, before, least)
+                    out["doc_id"] += [doc] * len(at)
+                    out["digest"] += [b["digest"][i]] * len(at)
+                    out["place"] += at.tolist()
+                    out["n1"] += before[at].tolist()
+                    out["n2"] += before[at + half].tolist()
                 yield out
 
-        named = stored(
-            map_rows(state, name, f"{key}, place bigint, n1 bigint, n2 bigint"), f"names{level}"
-        )
-        classes = _classes(named, f"classes{level}")
-        if classes.isEmpty():
-            break
-        hits = (
-            named.join(classes.select("n1", "n2"), ["n1", "n2"])
-            .groupBy("doc_id", "digest").agg(F.collect_set("place").alias(f"r{level}"))
-        ).withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
-        match = state["doc_id"].eqNullSafe(hits["_id"]) & (state["digest"] == hits["_digest"])
-        # A text without repeated lines has no repeated run.
-        joined_state = state.join(hits, match, "left" if level else "inner").drop("_id", "_digest")
-        state = stored(joined_state, f"state{level}")
-        level += 1
+        last = state.select("doc_id", "digest", "words", f"r{level - 1}").where(F.col(f"r{level - 1}").isNotNull())
+        keyed = stored(map_rows(last, halves, f"{key}, place bigint, n1 bigint, n2 bigint"), f"keys{level}")
+        found = _repeated(keyed, ["n1", "n2"], f"repeated{level}")
     levels = level
 
-    def windows(batches: Iterator[dict]) -> Iterator[dict]:
+    def prefixes(batches: Iterator[dict]) -> Iterator[dict]:
         for b in batches:
             out: dict[str, list] = {c: [] for c in ("doc_id", "digest", "place", "lines", "again", "n1", "n2")}
             for i, doc in enumerate(b["doc_id"]):
                 words = np.array(b["words"][i], dtype=np.int64)
-                ids = ids_of(b, i)
-                flags = [_flags(b[f"r{k}"][i], len(words) - (1 << k) + 1) for k in range(levels)]
-                names = [prefix_names(ids, k) for k in range(levels)]
-                seen: set[tuple[int, int]] = set()
+                ranks = [dense(b[f"r{k}"][i], len(words) - (1 << k) + 1) for k in range(levels)]
+                seen: set[tuple[int, int, int]] = set()
                 for s, m in shortest_runs(words, least):
                     k = m.bit_length() - 1
-                    other = s + m - (1 << k)
-                    if k < levels and flags[k][s] and flags[k][other]:
-                        whole = joined(names[k][s], names[k][other]) * np.uint64(2 * m + 1)
-                        n1, n2 = whole.view(np.int64).tolist()
-                        for column, value in zip(out, (doc, b["digest"][i], s, m, (n1, n2) in seen, n1, n2), strict=True):
+                    if k >= levels:
+                        continue
+                    n1, n2 = int(ranks[k][s]), int(ranks[k][s + m - (1 << k)])
+                    if n1 >= 0 and n2 >= 0:
+                        again = (m, n1, n2) in seen
+                        for column, value in zip(out, (doc, b["digest"][i], s, m, again, n1, n2), strict=True):
                             out[column].append(value)
-                        seen.add((n1, n2))
+                        seen.add((m, n1, n2))
             yield out
 
     if not levels:
         schema = f"{key}, runs array<struct<place: bigint, lines: bigint>>"
         return docs.sparkSession.createDataFrame([], schema)
     runs = stored(
-        map_rows(state, windows, f"{key}, place bigint, lines bigint, again boolean, n1 bigint, n2 bigint"),
-        "windows",
+        map_rows(state, prefixes, f"{key}, place bigint, lines bigint, again boolean, n1 bigint, n2 bigint"),
+        "prefixes",
     )
-    later = runs.join(_classes(runs, "intervals"), ["n1", "n2"]).where(
+    interval = ["lines", "n1", "n2"]
+    later = runs.join(_repeated(runs, interval, "intervals"), interval).where(
         F.col("again") | (F.col("first_doc") < F.col("doc_id"))
         | (F.col("doc_id").isNull() & F.col("first_doc").isNotNull())
     )

@@ -347,6 +347,28 @@ def test_line_runs_by_brute_force(spark, least):
     assert got == delete_later_runs(docs, least)
 
 
+def test_line_ranks_are_places_of_a_sorted_order(spark, monkeypatch):
+    """Ranks of a round number the sorted pairs of the round before, and stand for equal prefixes."""
+    ranked = []
+    plain = line_runs.row_numbers
+
+    def spy(df, order, name):
+        ranked.append(plain(df, order, name).persist())
+        return ranked[-1]
+
+    monkeypatch.setattr(line_runs, "row_numbers", spy)
+    run = [f"line {i}" for i in range(12)]
+    docs = [(i, "\n".join([f"own {i}", *run[i : i + 8]])) for i in range(4)]
+    got = line_runs.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string"), line_runs.Settings(10))
+    assert {r["doc_id"]: (r["text"], r["deleted_lines"]) for r in got.collect()} == delete_later_runs(docs, 10)
+    assert len(ranked) >= 3
+    for level, frame in enumerate(ranked):
+        pair = [c for c in frame.columns if c != "rank"]
+        rows = sorted(tuple(r) for r in frame.select(*pair, "rank").collect())
+        assert [r[-1] for r in rows] == list(range(1, len(rows) + 1))
+        assert not level or {x for r in rows for x in r[:2]} <= set(range(1, ranked[level - 1].count() + 1))
+
+
 def test_line_runs_on_the_table(documents):
     s = line_runs.Settings()
     rows = [(r["doc_id"], r["text"]) for r in documents.collect() if len(r["text"].split("\n")) < 60]
