@@ -1,13 +1,17 @@
 """Benchmark decontamination: SimHash windows of an item's size, multi-index Hamming blocks, exact check.
 
-Every benchmark item has a SimHash of its five-word shingles. In a document, the windows that have as
-many words as the item are fingerprinted wherever they share at least one shingle with it: elsewhere the
-similarity is zero. Eight block indexes list the items whose block differs in so few bits that no
-fingerprint within the radius is missed, and weighted-shingle (multiset) Jaccard decides.
+Every benchmark item has a SimHash of 192 bits of its five-word shingles. In a document, the windows that have
+as many words as an item are fingerprinted wherever they share at least one shingle with one of that size:
+elsewhere the similarity is zero. Twelve block tables propose the items: a fingerprint within the radius
+of 47 bits has a block of 16 bits with at most 3 of them, so none within the radius is missed, while a
+random fingerprint is proposed for about one item in eight. An item is listed under the values up to two
+bits away, a window asks with those up to one bit away. Of what is proposed within the radius,
+weighted-shingle (multiset) Jaccard decides.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,11 +29,28 @@ from marquee.llm.shared import columns_of, map_rows, plain_words, stored, texts_
 class Settings:
     shingle: int = 5  # words
     similarity: float = 0.8  # weighted Jaccard from which an item counts as contained
-    radius: int = 24  # bits of 64; see the note in ``matches``
     block_bytes: int = 8 << 20  # benchmark text that one pass over the documents carries
+    block_items: int = 4096  # items of it, each some ten kilobytes of index
 
 
-BLOCKS = 8  # of eight bits
+BLOCKS = 12  # of 16 bits
+RUN = 2048  # windows that are fingerprinted at a time
+
+
+def _ball(bits: int) -> np.ndarray:
+    """All differences of a block in at most that many bits."""
+    return np.array([sum(1 << i for i in c) for k in range(bits + 1) for c in combinations(range(16), k)], np.uint16)
+
+
+def block_bits(similarity: float) -> int:
+    """Bits in which some block of two fingerprints differs at most, if their bags have that weighted Jaccard.
+
+    Fingerprints of bags at a cosine of 2J / (1 + J) differ in a bit with the share that their angle has of
+    a half turn; allowed are 3.6 deviations above the mean, that is 47 bits of 192 at 0.8.
+    """
+    share = math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+    most = 16 * BLOCKS * share + 3.6 * math.sqrt(16 * BLOCKS * share * (1 - share))
+    return min(15, max(1, math.ceil(most) // BLOCKS))
 
 
 def _shingles(words: list[bytes], size: int) -> list[int]:
@@ -41,14 +62,21 @@ def _shingles(words: list[bytes], size: int) -> list[int]:
 
 
 def _signs(hashes: np.ndarray) -> np.ndarray:
-    """One row for each hash: +1 or -1 for each of its 64 bits."""
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return bits.astype(np.int32) * 2 - 1
+    """One row for each hash: +1 or -1 for each of 192 bits, 64 of them the hash itself."""
+    wide = np.empty((len(hashes), BLOCKS // 4), "<u8")
+    for k in range(wide.shape[1]):
+        x = hashes + np.uint64((k * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
+        if k:
+            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            x = x ^ (x >> np.uint64(31))
+        wide[:, k] = x
+    return np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little").astype(np.int32) * 2 - 1
 
 
 def _packed(sums: np.ndarray) -> np.ndarray:
-    """Fingerprints as eight bytes each, from the sums of signs."""
-    return np.packbits(sums > 0, axis=1, bitorder="little")
+    """Fingerprints as twelve blocks each, from the sums of signs."""
+    return np.packbits(sums > 0, axis=1, bitorder="little").view("<u2")
 
 
 def _nth(shingle: int, n: int) -> int:
@@ -67,7 +95,7 @@ def _numbered(shingles: list[int]) -> np.ndarray:
 
 def _window_sums(shingles: list[int], starts: list[int], ends: list[int]) -> np.ndarray:
     """Sums of the signs of the numbered shingles of windows; each starts one shingle after the one before."""
-    first = _signs(_numbered(shingles[starts[0] : ends[0]])).sum(0, dtype=np.int64)
+    first = _signs(_numbered(shingles[starts[0] : ends[0]])).sum(0, dtype=np.int32)
     inside, gone, come = Counter(shingles[starts[0] : ends[0]]), [], []
     for w in range(1, len(starts)):
         out = shingles[starts[w] - 1]
@@ -76,20 +104,24 @@ def _window_sums(shingles: list[int], starts: list[int], ends: list[int]) -> np.
         for x in shingles[ends[w - 1] : ends[w]]:
             inside[x] += 1
             come.append((w, _nth(x, inside[x])))
-    sums = np.zeros((len(starts), 64), np.int64)
+    sums = np.zeros((len(starts), 16 * BLOCKS), np.int32)
     sums[0] = first
     for changes, sign in ((gone, -1), (come, 1)):
         if changes:
             np.add.at(sums, np.array([w for w, _ in changes]), sign * _signs(np.array([h for _, h in changes], np.uint64)))
-    return np.cumsum(sums, axis=0)
+    return np.cumsum(sums, axis=0, dtype=np.int32)
 
 
 class Index:
-    """A block of benchmark items: shingles, fingerprints and the eight Hamming block tables."""
+    """A block of benchmark items: shingles, fingerprints and, by size in words, the Hamming block tables."""
 
     def __init__(self, items: list[tuple], s: Settings):
         """items: (item_id, text)."""
         self.settings = s
+        bits = block_bits(s.similarity)
+        # A block differs in more than ``bits`` everywhere only if there are more bits than this in all.
+        self.radius = (bits + 1) * BLOCKS - 1
+        self.listed, self.asked = _ball(bits - 1), _ball(1)
         self.ids: list = []
         self.words: list[list[bytes]] = []
         for item_id, text in items:
@@ -102,7 +134,7 @@ class Index:
                 self.vocabulary.setdefault(w, len(self.vocabulary))
         hashes = [_shingles(w, s.shingle) for w in self.words]
         self.bags = [Counter(h) for h in hashes]
-        self.prints = np.concatenate([_packed(_signs(_numbered(h)).sum(0, keepdims=True)) for h in hashes]) if hashes else np.zeros((0, 8), np.uint8)
+        self.prints = np.concatenate([_packed(_signs(_numbered(h)).sum(0, keepdims=True)) for h in hashes]) if hashes else np.zeros((0, BLOCKS), np.uint16)
         # shingle -> [(item, place)], by the word numbers of the shingle
         self.anchors: dict[tuple[int, ...], list[tuple[int, int]]] = {}
         for item, words in enumerate(self.words):
@@ -111,15 +143,16 @@ class Index:
                 self.anchors.setdefault(tuple(ids[place : place + s.shingle]), []).append((item, place))
         self.sizes = sorted({len(a) for a in self.anchors})
         self.known = {n: np.array(sorted({self._key(a) for a in self.anchors if len(a) == n}), np.uint64) for n in self.sizes}
-        # near[b][value]: items whose block b differs from the value in at most radius // BLOCKS bits
-        masks = [sum(1 << i for i in c) for k in range(s.radius // BLOCKS + 1) for c in combinations(range(8), min(k, 8))]
-        self.near: list[dict[int, set[int]]] = []
-        for b in range(BLOCKS):
-            table: dict[int, set[int]] = {}
-            for item, value in enumerate(self.prints[:, b].tolist()):
-                for m in masks:
-                    table.setdefault(value ^ m, set()).add(item)
-            self.near.append(table)
+        # tables[size][b]: sorted values near block b of an item of that size, and whose they are
+        by_size: dict[int, list[int]] = {}
+        for item, words in enumerate(self.words):
+            by_size.setdefault(len(words), []).append(item)
+        self.tables = {n: [self._table(np.array(items), b) for b in range(BLOCKS)] for n, items in by_size.items()}
+
+    def _table(self, items: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+        values = (self.prints[items, block][:, None] ^ self.listed).ravel()
+        order = np.argsort(values, kind="stable")
+        return values[order], np.repeat(items, len(self.listed))[order].astype(np.int32)
 
     @staticmethod
     def _key(ids) -> np.uint64:
@@ -150,10 +183,10 @@ class Index:
     def matches(self, text: str) -> list[tuple[int, float, int, int]]:
         """(item, similarity, first word, last word) of the best window of every item contained.
 
-        Windows start wherever one of the item's size holds a shared shingle. Of two shingle bags with a
-        weighted Jaccard of 0.8 the fingerprints differ in about 10 of 64 bits (standard deviation
-        under 3), so a radius of 24 is some five deviations away; within it the block index misses
-        nothing: 24 differing bits leave one of 8 blocks with at most 3. Fingerprints are of pairs of a
+        Windows start wherever one of an item's size holds a shingle shared with an item of that size. Of
+        two shingle bags with a weighted Jaccard of 0.8 the fingerprints differ in about 29 of 192 bits
+        (standard deviation 5), so a radius of 47 is over three and a half deviations away (one in some
+        ten thousand such windows lies beyond, fewer of more similar ones). Fingerprints are of pairs of a
         shingle and its occurrence number, so that this holds for repeated shingles too.
         """
         s = self.settings
@@ -164,44 +197,61 @@ class Index:
             size = len(self.words[item])
             width = min(s.shingle, size)
             low, high = max(0, place + width - size), min(place, max(0, len(words) - size))
-            starts.setdefault(item, set()).update(range(low, high + 1))
+            starts.setdefault(size, set()).update(range(low, high + 1))
         best: dict[int, tuple[float, int, int]] = {}
-        for item, places in starts.items():
-            size = len(self.words[item])
+        for size, places in starts.items():
             width = min(s.shingle, size)
             at = np.array(sorted(places))
             for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
-                first, last = int(run[0]), min(int(run[-1]) + size, len(words))
-                hashes = _shingles(words[first:last], width)
-                ends = np.minimum(run - first + size - width + 1, len(hashes)).tolist()
-                prints = _packed(_window_sums(hashes, (run - first).tolist(), ends))
-                for w in np.flatnonzero(self._within(prints, item)).tolist():
-                    bag = Counter(hashes[run[w] - first : ends[w]])
-                    both = sum((bag & self.bags[item]).values())
-                    value = both / (bag.total() + self.bags[item].total() - both)
-                    if value >= s.similarity and value > best.get(item, (0.0, 0, 0))[0]:
-                        best[item] = (value, int(run[w]), int(min(run[w] + size, len(words))) - 1)
+                for run in np.split(run, range(RUN, len(run), RUN)):
+                    first, last = int(run[0]), min(int(run[-1]) + size, len(words))
+                    hashes = _shingles(words[first:last], width)
+                    ends = np.minimum(run - first + size - width + 1, len(hashes)).tolist()
+                    prints = _packed(_window_sums(hashes, (run - first).tolist(), ends))
+                    for w, item in zip(*(x.tolist() for x in self.within(prints, size)), strict=True):
+                        bag = Counter(hashes[run[w] - first : ends[w]])
+                        both = sum((bag & self.bags[item]).values())
+                        value = both / (bag.total() + self.bags[item].total() - both)
+                        if value >= s.similarity and value > best.get(item, (0.0, 0, 0))[0]:
+                            best[item] = (value, int(run[w]), int(min(run[w] + size, len(words))) - 1)
         return [(item, *found) for item, found in sorted(best.items())]
 
-    def _within(self, prints: np.ndarray, item: int) -> np.ndarray:
-        """Windows that some block index lists for the item and whose fingerprint is within the radius."""
-        listed = np.zeros(len(prints), bool)
-        for b, table in enumerate(self.near):
-            values, back = np.unique(prints[:, b], return_inverse=True)
-            listed |= np.array([item in table.get(v, ()) for v in values.tolist()])[back]
-        bits = np.bitwise_count(prints ^ self.prints[item]).sum(1)
-        return listed & (bits <= self.settings.radius)
+    def proposed(self, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Window and item, each pair once, that agree in some block but for at most 3 bits; windows in order."""
+        pairs = []
+        for b, (values, owners) in enumerate(self.tables.get(size, ())):
+            wanted, back = np.unique(prints[:, b], return_inverse=True)
+            asked = (wanted[:, None] ^ self.asked).ravel()
+            low, high = np.searchsorted(values, asked), np.searchsorted(values, asked, side="right")
+            many = high - low
+            hits = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+            found = np.unique(np.repeat(np.arange(len(asked)) // len(self.asked), many) * len(self.ids) + owners[hits])
+            value, item = np.divmod(found, len(self.ids))
+            # The windows of each value, one after the other.
+            times = np.bincount(back, minlength=len(wanted))
+            begin, order = np.cumsum(times) - times, np.argsort(back, kind="stable")
+            each = times[value]
+            window = order[np.repeat(begin[value] - np.cumsum(each) + each, each) + np.arange(each.sum())]
+            pairs.append(window * len(self.ids) + np.repeat(item, each))
+        every = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+        return every // max(1, len(self.ids)), every % max(1, len(self.ids))
+
+    def within(self, prints: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The proposed pairs whose fingerprints lie within the radius."""
+        window, item = self.proposed(prints, size)
+        near = np.bitwise_count(prints[window] ^ self.prints[item]).sum(1) <= self.radius
+        return window[near], item[near]
 
 
 def _blocks(benchmark: DataFrame, s: Settings) -> Iterator[list[tuple]]:
     """The benchmark in blocks of bounded size, so that neither driver nor task holds more than one.
 
-    A block holds about ``block_bytes`` of text: items are dealt by the hash of id and text into as many
-    blocks as the total size asks for.
+    A block holds about ``block_bytes`` of text and ``block_items`` items: items are dealt by the hash of id and
+    text into as many blocks as the whole asks for.
     """
     items = columns_of(benchmark, item_id="item_id", text="text").where(F.col("text").isNotNull()).distinct()
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = total // s.block_bytes + 1
+    total, rows = items.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    count = max((total or 0) // s.block_bytes, rows // s.block_items) + 1
     if count > 1:
         items = stored(items.withColumn("_b", F.pmod(F.xxhash64("item_id", "text"), F.lit(count))), "benchmark")
     for b in range(count):

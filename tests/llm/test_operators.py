@@ -521,6 +521,47 @@ def test_items_that_repeat_a_shingle():
         assert (got[s] == want).all()
 
 
+def test_block_tables_propose_the_items():
+    """Nothing within the radius is missed, most other items are not proposed, and without tables nothing is found."""
+    rng = np.random.default_rng(5)
+    items = [(i, " ".join(rng.choice(list("abcdefghijklmnop"), 30))) for i in range(200)]
+    index = decontaminate.Index(items, decontaminate.Settings())
+    assert index.radius == 47
+    bits = np.unpackbits(index.prints.view(np.uint8), axis=1, bitorder="little")
+    for i in range(200):
+        bits[i, rng.choice(192, 47, replace=False)] ^= 1
+    moved = np.packbits(bits, axis=1, bitorder="little").view("<u2")
+    window, item = index.within(moved, 30)
+    assert {(i, i) for i in range(200)} <= set(zip(window.tolist(), item.tolist()))
+    far = np.bitwise_count(moved[:, None] ^ index.prints).sum(2) <= 47
+    assert set(zip(*(x.tolist() for x in np.nonzero(far)))) == set(zip(window.tolist(), item.tolist()))
+    noise = rng.integers(0, 1 << 16, (500, 12)).astype(np.uint16)
+    window, item = index.proposed(noise, 30)
+    assert len(set(zip(window.tolist(), item.tolist()))) == len(window) and 0.08 < len(window) / (500 * 200) < 0.16
+    text = "x y z " + items[7][1] + " q"
+    assert [m[0] for m in index.matches(text)] == [7]
+    index.tables = {n: [(v[:0], o[:0]) for v, o in t] for n, t in index.tables.items()}
+    assert index.matches(text) == []
+
+
+def test_contamination_equals_a_scan_without_index(monkeypatch):
+    """All documents of the larger table against every item: the index loses nothing."""
+    import pyarrow.parquet as pq
+
+    folder = "/root/testdata/sf0.1"
+    bench = pq.read_table(f"{folder}/benchmark.parquet").to_pydict()
+    texts = [t for t in pq.read_table(f"{folder}/documents.parquet")["text"].to_pylist() if t]
+    index = decontaminate.Index(list(zip(bench["item_id"], bench["text"])), decontaminate.Settings())
+    got = [index.matches(t) for t in texts]
+
+    def whole(self, prints, size):
+        items = np.array([i for i, w in enumerate(self.words) if len(w) == size])
+        return np.repeat(np.arange(len(prints)), len(items)), np.tile(items, len(prints))
+
+    monkeypatch.setattr(decontaminate.Index, "within", whole)
+    assert got == [index.matches(t) for t in texts] and sum(map(len, got)) > 20
+
+
 # --- packing ---
 
 
