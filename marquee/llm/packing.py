@@ -35,14 +35,17 @@ def pack(sizes: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.nda
     """(bin, offset in it) of every size between 1 and the longest permitted length, and bin lengths."""
     lengths = sorted(set(s.lengths))
     order = np.argsort(-sizes, kind="stable")
-    # left_up_to[x]: words in pieces of at most x words
-    left_up_to = np.cumsum(np.bincount(sizes, np.asarray(sizes, float), minlength=lengths[-1] + 1))
+    # up_to[x]: words in pieces of at most x words. Pieces go by falling size, so of those smaller than the
+    # present one all are still to be placed, and of its own size all but the ``placed`` words.
+    up_to = np.cumsum(np.bincount(sizes, np.asarray(sizes, float), minlength=lengths[-1] + 1))
+    placed, last = 0, -1
     home, offset = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
     used: list[int] = []
     room: dict[int, list[int]] = {}  # free words -> bins
     free = 0  # bit x is set if a bin has x free words
     for i in order.tolist():
         size = int(sizes[i])
+        placed, last = (placed if size == last else 0) + size, size
         fits = free >> size
         if fits:  # best fit: the least room that suffices
             space = size + (fits & -fits).bit_length() - 1
@@ -50,7 +53,7 @@ def pack(sizes: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.nda
             if not room[space]:
                 free ^= 1 << space
         else:
-            space = _cheapest(size, lengths, left_up_to, s)
+            space = _cheapest(size, lengths, up_to, placed, s)
             b = len(used)
             used.append(0)
         home[i], offset[i] = b, used[b]
@@ -62,11 +65,13 @@ def pack(sizes: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.nda
     return home, offset, final
 
 
-def _cheapest(size: int, lengths: list[int], left_up_to: np.ndarray, s: Settings) -> int:
+def _cheapest(size: int, lengths: list[int], up_to: np.ndarray, placed: int, s: Settings) -> int:
     """The permitted length that costs least per word, if what can still fill it does."""
 
     def cost(length: int) -> float:
-        filled = size + min(length - size, float(left_up_to[min(length - size, size)]))
+        room = length - size
+        left = float(up_to[min(room, size)]) - (placed if room >= size else 0)
+        filled = size + min(room, left)
         return (length + length**2 / s.attention + s.bin_cost) / filled
 
     return min((x for x in lengths if x >= size), key=lambda x: (cost(x), x))

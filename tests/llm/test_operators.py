@@ -600,6 +600,46 @@ def test_best_fit_takes_the_fullest_bin():
     assert sorted(shrunk.tolist()) in ([50, 50], [100])
 
 
+def plain_best_fit(sizes, s):
+    """The same rule by plain loops over all bins and over all that is still to be placed."""
+    bins, waiting = [], sorted(enumerate(sizes), key=lambda x: (-x[1], x[0]))
+    home = {}
+    while waiting:
+        i, size = waiting.pop(0)
+        open_bins = [b for b in bins if b["room"] >= size]
+        if open_bins:
+            least = min(b["room"] for b in open_bins)
+            chosen = max((b for b in open_bins if b["room"] == least), key=lambda b: b["left_at"])
+        else:
+            def cost(length):
+                room = length - size
+                fill = size + min(room, sum(x for _, x in waiting if x <= room))
+                return (length + length**2 / s.attention + s.bin_cost) / fill
+
+            length = min((x for x in s.lengths if x >= size), key=lambda x: (cost(x), x))
+            chosen = {"room": length, "used": 0, "number": len(bins)}
+            bins.append(chosen)
+        home[i] = chosen["number"], chosen["used"]
+        chosen["room"] -= size
+        chosen["used"] += size
+        chosen["left_at"] = len(home)  # of bins with equal room the one filled last is taken
+    return home, [min(x for x in s.lengths if x >= b["used"]) for b in bins]
+
+
+@pytest.mark.parametrize("lengths", [(100,), (50, 100, 400), (64, 128, 256, 512)])
+def test_packing_equals_a_plain_best_fit(lengths):
+    rng = random.Random(len(lengths))
+    for n in (1, 2, 7, 60, 300):
+        s = packing.Settings(lengths=lengths)
+        sizes = [min(max(lengths), 1 + int(rng.paretovariate(0.8) * 8)) for _ in range(n)]
+        if n == 60:
+            sizes = [rng.choice((40, 41, 20)) for _ in range(n)]  # many of one size
+        home, offset, length = packing.pack(np.array(sizes), s)
+        want, bins = plain_best_fit(sizes, s)
+        assert dict(enumerate(zip(home.tolist(), offset.tolist(), strict=True))) == want
+        assert length.tolist() == bins
+
+
 # --- pipeline ---
 
 
