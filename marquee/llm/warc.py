@@ -36,6 +36,7 @@ class Settings:
 
 
 STEP = 8192  # bytes of an archive that are unpacked in one go
+TASK_ARCHIVES = 16  # archives that a task reads or rewrites, one after the other, where there are many
 
 MANIFEST = "archive string, records bigint, bytes bigint"
 
@@ -200,13 +201,16 @@ def read_headers(manifest: DataFrame) -> DataFrame:
                     ))
                 yield {n: [o[i] for o in out] for i, n in enumerate(names)}
 
-    # A task for each archive or so: a file is at most file_bytes and one record.
     spread = manifest.select("archive").repartition(_tasks(manifest), "archive")
     return map_rows(spread, rows, HEADERS)
 
 
 def _tasks(manifest: DataFrame) -> int:
-    return max(1, manifest.count())  # of a stored table: read from file footers
+    """Tasks to deal the archives to: a few for each core while there are few archives, and for any number of them
+    at most ``TASK_ARCHIVES`` to a task on average, each at most file_bytes and one record."""
+    archives = manifest.count()  # of a stored table: read from file footers
+    cores = manifest.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(archives, max(4 * cores, -(-archives // TASK_ARCHIVES))))
 
 
 def resolve_revisits(manifest: DataFrame, folder: str, settings: Settings = Settings()) -> DataFrame:
