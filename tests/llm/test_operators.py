@@ -483,7 +483,7 @@ def test_near_copies_by_brute_force(spark, documents):
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(want)
 
 
-@pytest.mark.parametrize("s", [shingle_copies.Settings(), shingle_copies.Settings(part_rows=16), shingle_copies.Settings(part_shingles=900)])
+@pytest.mark.parametrize("s", [shingle_copies.Settings(), shingle_copies.Settings(part_rows=16), shingle_copies.Settings(part_shingles=900), shingle_copies.Settings(rows=1, part_rows=8)])
 def test_near_copies_in_large_groups(spark, s):
     """Copies around the similarity, chains of copies, short texts, copies that differ in case and spaces only."""
     rng = random.Random(5)
@@ -504,6 +504,31 @@ def test_near_copies_in_large_groups(spark, s):
     assert {r["doc_id"] for r in shingle_copies.keep_one(frame, s).collect()} == want
 
 
+def test_copies_go_out_once_for_each_lead(spark):
+    """Many near copies of one text, of which some are too far apart: only those meet the others again."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(100)]
+    far = base[:70] + [f"x{i}" for i in range(30)]
+    sets = []
+    for n in range(300):
+        words = list(far if n % 50 == 0 else base)
+        words[rng.randrange(60, 100)] = f"new{n}"
+        sets.append(shingle_copies.shingle_set(" ".join(words)))
+    buckets = spark.createDataFrame([(7, n, len(x), 1, len(sets[1])) for n, x in enumerate(sets)], "key bigint, node bigint, size bigint, lead bigint, lead_size bigint")
+    frame = spark.createDataFrame([(n, bytearray(x.astype("<u8").tobytes())) for n, x in enumerate(sets)], "node bigint, shingles binary")
+    s = shingle_copies.Settings(part_rows=20)
+    links = shingle_copies._lead_links(buckets, frame, s)
+    roots = near_duplicates.components(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+    cells = shingle_copies._cells(buckets, roots, s).collect()
+    sent = Counter(c["node"] for c in cells)
+    assert {n for n, times in sent.items() if times > 1} <= set(range(0, 300, 50))
+    assert 299 <= sum(sent.values()) < 299 + 6 * 40
+    held = Counter((c["a"], c["b"]) for c in cells)
+    assert max(held.values()) <= 2 * s.part_rows
+    met = {frozenset((a["node"], b["node"])) for a in cells for b in cells if (a["a"], a["b"]) == (b["a"], b["b"])}
+    assert all(frozenset((n, far_one)) in met for far_one in range(0, 300, 50) for n in range(300) if n not in (1, far_one) and n % 50)
+
+
 def test_items_that_repeat_a_shingle():
     """Weighted Jaccard 0.74 with most of the differing mass in one shingle; sums of windows by their definition."""
     rng, lost = random.Random(3), 0
