@@ -192,6 +192,17 @@ def test_range_bins_hold_few_buckets_each(spark):
         assert joined.count() == 2000 and joined.where("v < lo or v >= hi").isEmpty()
 
 
+def test_spread_buckets_are_not_broadcast(spark, tmp_path):
+    """A small table of many narrow buckets: spread over bins it is larger than the planner takes it for."""
+    path = str(tmp_path / "buckets")
+    start = F.col("id") / 20_000
+    spark.range(20_000).select("id", start.alias("lo"), ((F.col("id") + 1) / 20_000).alias("hi")).write.parquet(path)
+    points = spark.range(2000).select(F.col("id").alias("p"), ((F.col("id") + 0.53) / 2000).alias("v"))
+    joined = joins.range_bucket_join(points, spark.read.parquet(path), "v")
+    assert joined.where("id = floor(v * 20000)").count() == 2000
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_orphans_are_found_in_one_stored_comparison(spark, monkeypatch):
     stored = []
     kept = type(spark.range(1)).checkpoint
