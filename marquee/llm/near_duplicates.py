@@ -49,6 +49,11 @@ def fingerprint(text: str, s: Settings = Settings()) -> int:
         [digest(joined[a:b], seed) for a, b in zip(starts, (ends[s.shingle - 1 :] - 1).tolist(), strict=True)],
         dtype=np.uint64,
     )
+    return majority(hashes)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The 64 bits that are set in over half the hashes; 0 for none."""
     ones = np.zeros(64, np.int64)
     for part in np.array_split(hashes, len(hashes) // 65_536 + 1):
         ones += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -236,6 +241,11 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def fingerprint_groups(prints: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """(node, root): the smallest fingerprint that each linked one reaches. ``prints``: distinct ``fp``."""
+    return components(_links(prints.select(F.col("fp").alias("node"), "fp"), settings))
+
+
 def fingerprints(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, digest (xxhash64 of the text), fp (signed long) of every row; written once."""
     texts = texts_of(docs).withColumn("digest", F.xxhash64("text"))
@@ -252,7 +262,7 @@ def fingerprints(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def label_components(prints: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``prints`` with ``root``, a number of the component, and ``component_id``, its smallest doc_id."""
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = components(_links(nodes.select(F.col("fp").alias("node"), "fp"), settings))
+    roots = fingerprint_groups(nodes, settings)
     placed = stored(
         nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root")),
         "placed",

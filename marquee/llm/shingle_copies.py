@@ -1,8 +1,10 @@
-"""Near copies by word shingles: min-hash bands propose, exact set Jaccard decides inside their buckets.
+"""Near copies by word shingles: SimHash groups and min-hash bands propose, exact set Jaccard decides.
 
-A text is the set of its five-word shingles. Texts of equal sets are one node. Of two sets with Jaccard J a
-band of ``rows`` min-hashes agrees with probability J^rows; with 36 bands of 5 a pair at 0.8 shares no band
-with probability 6e-7, at 0.85 with 2e-10. Nodes that share a band form a bucket. All members of a bucket are
+A text is the set of its five-word shingles. Texts of equal sets are one node. A node has a SimHash fingerprint,
+linked by the bit planes of ``near_duplicates``; each group of linked fingerprints forms a bucket. At a Jaccard
+of 0.8 some ten of 64 bits differ, out of reach of the fingerprints' block keys, so min-hash bands form buckets
+besides. Of two sets with Jaccard J a band of ``rows`` min-hashes agrees with probability J^rows; with 36 bands of 5 a pair at 0.8 shares no band
+with probability 6e-7, at 0.85 with 2e-10. Nodes that share a band form a bucket. All members of a bucket of either kind are
 first compared, by whole sets, with its smallest node, which links nearly all of a group of copies at one
 comparison a member. Where a bucket then still holds several components, their members are compared with
 each other, never those of one component: a large one is dealt into parts that meet only the others' parts.
@@ -19,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.near_duplicates import components, first_rows, row_keys, smallest_row
+from marquee.llm.near_duplicates import components, fingerprint_groups, first_rows, majority, row_keys, smallest_row
 from marquee.llm.shared import map_rows, spaced_words, stored, texts_of
 
 
@@ -223,6 +225,13 @@ def _cell_links(cells: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     return map_rows(gathered, link, "u bigint, v bigint")
 
 
+def simhash_buckets(nodes: DataFrame) -> DataFrame:
+    """(node, size, key) of the nodes whose fingerprint ``fp`` is linked to that of another node, or equal to it."""
+    roots = fingerprint_groups(nodes.select("fp").distinct())
+    linked = nodes.select("node", "size", "fp").join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left")
+    return linked.select("node", "size", F.xxhash64(F.lit("simhash"), F.coalesce("root", "fp")).alias("key"))
+
+
 def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with one row of each group of near copies: that with the smallest id.
 
@@ -241,15 +250,16 @@ def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             names = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64)
             yield {
                 "doc_id": b["doc_id"], "digest": b["digest"], "node": names.view(np.int64),
-                "size": [len(x) for x in sets], "keys": [band_keys(x, s) for x in sets],
+                "size": [len(x) for x in sets], "fp": np.array([majority(x) for x in sets], np.uint64).view(np.int64),
+                "keys": [band_keys(x, s) for x in sets],
             }
 
-    rows = map_rows(texts, sketch, f"doc_id {kind}, digest bigint, node bigint, size bigint, keys array<bigint>")
+    rows = map_rows(texts, sketch, f"doc_id {kind}, digest bigint, node bigint, size bigint, fp bigint, keys array<bigint>")
     nodes = stored(
-        rows.groupBy("node").agg(smallest_row().alias("first"), F.first("size").alias("size"), F.first("keys").alias("keys")),
+        rows.groupBy("node").agg(smallest_row().alias("first"), *[F.first(c).alias(c) for c in ("size", "fp", "keys")]),
         "sets-of-texts",
     )
-    keyed = nodes.select("node", "size", F.explode("keys").alias("key"))
+    keyed = nodes.select("node", "size", F.explode("keys").alias("key")).union(simhash_buckets(nodes.where("size > 0")))
     shared = keyed.groupBy("key").agg(F.min(F.struct("node", "size")).alias("lead"), F.max("node").alias("most")).where("lead.node < most")
     buckets = stored(
         keyed.join(shared.select("key", F.col("lead.node").alias("lead"), F.col("lead.size").alias("lead_size")), "key"),

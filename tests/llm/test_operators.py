@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -483,6 +484,34 @@ def test_near_copies_by_brute_force(spark, documents):
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(want)
 
 
+def test_fingerprints_alone_propose_near_copies(spark):
+    """Without bands the near-dedup finds what SimHash groups and exact Jaccard give."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(400)]
+        texts.append(" ".join(words))
+        for n in (1, 3):
+            words = [*words[:-n], *[f"x{rng.randrange(5000)}" for _ in range(n)]]
+            texts.append(" ".join(words))
+    sets = [shingle_copies.shingle_set(t) for t in texts]
+    prints = [near_duplicates.majority(x) for x in sets]
+
+    def smallest(near):
+        up = list(range(len(texts)))
+        for _ in texts:
+            for i, j in itertools.combinations(range(len(texts)), 2):
+                if near(i, j):
+                    up[i] = up[j] = min(up[i], up[j])
+        return up
+
+    groups = smallest(lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 2)
+    want = smallest(lambda i, j: groups[i] == groups[j] and shingle_copies.jaccard_to(sets[i], sets[j]) >= 0.8)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = shingle_copies.keep_one(docs, shingle_copies.Settings(bands=0))
+    assert {r["doc_id"] for r in kept.collect()} == set(want) and 12 <= len(set(want)) < 30
+
+
 @pytest.mark.parametrize("s", [shingle_copies.Settings(), shingle_copies.Settings(part_rows=16), shingle_copies.Settings(part_shingles=900), shingle_copies.Settings(rows=1, part_rows=8)])
 def test_near_copies_in_large_groups(spark, s):
     """Copies around the similarity, chains of copies, short texts, copies that differ in case and spaces only."""
