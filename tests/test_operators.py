@@ -18,6 +18,7 @@ from marquee.plans.metrics import BOOKING_REVENUE, PAYMENT_HEALTH, VIEWS
 from marquee.sources import landing
 from tests.world import booking as row
 from tests.world import customer, frame, movie, rows, show, theatre
+from workload.catalog import QUERIES
 
 
 # --- ranking ---------------------------------------------------------------------------------
@@ -203,6 +204,32 @@ def test_spread_buckets_are_not_broadcast(spark, tmp_path):
     assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
 
 
+def test_range_picks_stay_light_on_the_driver(spark, tmp_path):
+    """Neither the spread buckets nor many copies of the bounds of their bins pass through the driver."""
+    part = spark.range(20_000).select(F.col("id").alias("p_partkey"))
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    orders = spark.range(3000).select(F.col("id").alias("o_orderkey"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    for name in ("range_bucket_join_distributed", "range_bucket_join"):
+        picks = QUERIES[name](spark, str(tmp_path))
+        plan = picks._jdf.queryExecution().executedPlan().toString()
+        # What is broadcast is where each range partition starts, one row for each.
+        assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
+        assert 1 <= len(re.findall(r"(?:[0-9.E-]+,){1000,}", plan)) <= 3
+        assert tuple(picks.agg(F.count("movie_id"), F.count_distinct("o_orderkey")).first()) == (3000, 3000)
+
+
+def test_positions_that_are_null_or_beyond_all_buckets_join_nothing(spark):
+    points = spark.createDataFrame([(1, None), (2, 0.0), (3, 0.25), (4, 0.5), (5, 0.75), (6, None)], "i int, v double")
+    buckets = spark.createDataFrame(
+        [("a", 0.0, 0.25), ("b", 0.25, 0.5), ("none", 0.5, 0.5), ("c", None, 0.5), ("d", 0.75, None), ("e", 0.5, 0.75)],
+        "b string, lo double, hi double",
+    )
+    for bins in (1, 2, 4096):
+        joined = joins.range_bucket_join(points, buckets, "v", bins=bins)
+        assert rows(joined, "i", "b") == [(2, "a"), (3, "b"), (4, "e")]
+
+
 def test_orphans_are_found_in_one_stored_comparison(spark, monkeypatch):
     stored = []
     kept = type(spark.range(1)).checkpoint
