@@ -5,6 +5,9 @@ from __future__ import annotations
 import json
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -219,6 +222,29 @@ def test_range_picks_stay_light_on_the_driver(spark, tmp_path):
         assert tuple(picks.agg(F.count("movie_id"), F.count_distinct("o_orderkey")).first()) == (3000, 3000)
 
 
+FIRST_PICKS = """
+import sys
+from marquee.session import build_session
+from workload.catalog import QUERIES
+
+name, folder = sys.argv[1:]
+conf = {"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": f"{folder}/kept"}
+spark = build_session("first", "local[2]", **conf)
+QUERIES[name](spark, folder).write.parquet(f"{folder}/picks")
+"""
+
+
+def test_range_picks_as_the_first_query_of_a_session(spark, tmp_path):
+    """Spark numbers the variables of functions as it numbers the first columns of a session."""
+    spark.range(300).select(F.col("id").alias("p_partkey")).write.parquet(str(tmp_path / "part.parquet"))
+    spark.range(500).select(F.col("id").alias("o_orderkey")).write.parquet(str(tmp_path / "orders.parquet"))
+    command = [sys.executable, "-c", FIRST_PICKS, "range_bucket_join_distributed", str(tmp_path)]
+    ran = subprocess.run(command, cwd=Path(__file__).parent.parent, capture_output=True, text=True, timeout=300)
+    assert ran.returncode == 0, ran.stderr[-3000:]
+    picks = spark.read.parquet(str(tmp_path / "picks"))
+    assert tuple(picks.agg(F.count("movie_id"), F.count_distinct("o_orderkey")).first()) == (500, 500)
+
+
 def test_positions_that_are_null_or_beyond_all_buckets_join_nothing(spark):
     points = spark.createDataFrame([(1, None), (2, 0.0), (3, 0.25), (4, 0.5), (5, 0.75), (6, None)], "i int, v double")
     buckets = spark.createDataFrame(
